@@ -100,6 +100,104 @@ class Transit:
         )
         return conform(rows, schemas.SERVICE_ALERTS)
 
+    # Nested feed messages.
+
+    @cached_property
+    def trip_messages(self) -> DataFrame:
+        """Every event as one poll: a trip with two stop updates, and an entity of another kind."""
+        schema = schemas.TRIP_UPDATE_MESSAGE
+        seconds, k = F.unix_seconds("ts"), prop_k()
+        header = F.struct(
+            F.lit("2.0"), F.when(F.col("event_id") % 7 == 0, 0).otherwise(seconds)
+        )
+        code = _chosen(F.col("event_type"), {"signup": 3, "purchase": 1, "view": 99})
+        trip = F.struct(
+            _text("user_id"),
+            _text(F.col("user_id") % _ROUTES),
+            F.when(F.col("event_id") % 2 == 1, F.date_format("ts", "yyyyMMdd")),
+            code,
+        )
+        first = F.struct(
+            F.col("event_type"),
+            _chosen(F.col("event_type"), _STOP_SEQUENCE).cast("bigint"),
+            F.lit(None).cast("int"),
+            F.struct(k, seconds + k),
+            F.lit(None).cast("struct<delay:int,time:bigint>"),
+        )
+        second = F.struct(
+            F.lit(None).cast("string"),
+            F.lit(None).cast("bigint"),
+            F.lit(1),
+            F.when(k % 2 == 0, F.struct(F.lit(None).cast("int"), seconds)),
+            F.struct(k, F.lit(None).cast("bigint")),
+        )
+        entity_type = schema["entity"].dataType
+        item, update = entity_type.elementType, entity_type.elementType["trip_update"].dataType
+        with_trip = F.struct(
+            _text("event_id"),
+            F.struct(
+                trip,
+                F.array(
+                    *[
+                        s.cast(update["stop_time_update"].dataType.elementType)
+                        for s in (first, second)
+                    ]
+                ),
+            ).cast(update),
+        )
+        other = F.struct(F.lit("other"), F.lit(None).cast(update))
+        return self.events.select(
+            header.cast(schema["header"].dataType).alias("header"),
+            F.array(with_trip.cast(item), other.cast(item)).alias("entity"),
+            F.col("ts").alias("_ingested_at"),
+        )
+
+    @cached_property
+    def alert_messages(self) -> DataFrame:
+        """Every event as one poll with one alert and one entity of another kind. Rows with an odd k name
+        nothing; the others name a route and a trip at a stop."""
+        schema = schemas.ALERT_MESSAGE
+        item = schema["entity"].dataType.elementType
+        alert_type = item["alert"].dataType
+        k = prop_k()
+        periods, informed = (alert_type[n].dataType for n in ("active_period", "informed_entity"))
+        period = F.struct(
+            F.unix_seconds("ts"), F.when(k % 3 == 0, 0).otherwise(F.unix_seconds("ts") + 3600)
+        ).cast(periods.elementType)
+        later = F.struct(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")).cast(
+            periods.elementType
+        )
+        route = F.struct(
+            _text(F.col("user_id") % _ROUTES),
+            F.lit(None).cast("string"),
+            F.lit(None).cast("struct<trip_id:string>"),
+        )
+        at_stop = F.struct(
+            F.lit(None).cast("string"), F.col("event_type"), F.struct(_text("user_id"))
+        )
+        text_type = alert_type["header_text"].dataType
+        text = F.struct(F.array(F.struct(F.col("props"), F.lit("en")))).cast(text_type)
+        alert = F.struct(
+            F.when(k < 50, k % 14),
+            F.when(k < 50, k % 13),
+            text,
+            F.lit(None).cast(text_type),
+            F.when(k % 5 != 0, F.array(period, later)).otherwise(
+                F.array().cast(periods)
+            ),
+            F.when(k % 2 == 0, F.array(*[e.cast(informed.elementType) for e in (route, at_stop)]))
+            .otherwise(F.array().cast(informed)),
+        ).cast(alert_type)
+        named = F.struct(_text("event_id"), alert)
+        other = F.struct(F.lit("other"), F.lit(None).cast(alert_type))
+        return self.events.select(
+            F.struct(F.lit("2.0"), F.unix_seconds("ts")).cast(schema["header"].dataType).alias(
+                "header"
+            ),
+            F.array(named.cast(item), other.cast(item)).alias("entity"),
+            F.col("ts").alias("_ingested_at"),
+        )
+
     # Static timetable tables with their version history.
 
     @cached_property

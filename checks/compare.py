@@ -9,7 +9,7 @@ import duckdb
 import pandas as pd
 
 from checks.oracles import ORACLES
-from checks.queries import QUERIES
+from checks.registry import all_queries
 from headway.session import build_session
 
 TABLES = (
@@ -57,7 +57,7 @@ def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
 
 
 def main(argv: list[str]) -> int:
-    sf_dir, names = argv[0], argv[1:] or list(QUERIES)
+    sf_dir, names = argv[0], argv[1:] or list(all_queries())
     spark = build_session(
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.master": "local[8]"}
     )
@@ -67,7 +67,7 @@ def main(argv: list[str]) -> int:
     for name in names:
         began = time.time()
         try:
-            df = QUERIES[name](spark, sf_dir)
+            df = all_queries()[name](spark, sf_dir)
             if name in ORACLES:
                 problem = difference(df, con, ORACLES[name])
             else:

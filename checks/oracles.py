@@ -329,3 +329,163 @@ ORACLES: dict[str, str] = {
            / ((SELECT count(DISTINCT is_late) FROM features) * count(*)) AS class_weight
        FROM features GROUP BY is_late""",
 }
+
+_RULE_NAMES = """
+('stg_routes','NotNull','route_id','error'), ('stg_routes','Unique','route_id','error'),
+('stg_stops','NotNull','stop_id','error'), ('stg_stops','Unique','stop_id','error'),
+('stg_trips','NotNull','trip_id','error'), ('stg_trips','Unique','trip_id','error'),
+('stg_trips','Relationship','route_id','error'),
+('stg_stop_times','Unique','trip_id,stop_sequence','error'),
+('stg_trip_updates','NotNull','entity_id','error'), ('stg_trip_updates','NotNull','trip_id','error'),
+('stg_trip_updates','AcceptedValues','schedule_relationship','error'),
+('stg_service_alerts','NotNull','alert_id','error'),
+('stg_service_alerts','AcceptedValues','cause','error'),
+('trip_stop_performance','Unique','service_date,trip_id,stop_id,stop_sequence','error'),
+('dim_date','NotNull','date_key','error'), ('dim_date','Unique','date_key','error'),
+('dim_route','NotNull','route_key','error'), ('dim_route','Unique','route_key','error'),
+('dim_route','AcceptedValues','mode','error'),
+('dim_stop','NotNull','stop_key','error'), ('dim_stop','Unique','stop_key','error'),
+('fact_trip_stop_performance','Relationship','route_key','warn'),
+('fact_trip_stop_performance','Unique','service_date,trip_id,stop_id,stop_sequence','error'),
+('fact_service_alerts','NotNull','alert_id','error'),
+('fact_service_alerts','Relationship','route_key','warn'),
+('mart_route_daily_performance','AcceptedRange','pct_on_time','error'),
+('mart_route_daily_performance','Unique','date_key,route_id','error'),
+('mart_line_delay_concentration','AcceptedRange','cumulative_pct_of_network_delay','error')
+"""
+
+_EVENT_PATH = """'gtfs_rt_trip_updates/' || event_type || '/dt=' || strftime(ts, '%Y-%m-%d') || '/'
+  || strftime(ts, '%Y%m%dT%H%M%SZ') || '.parquet'"""
+
+_FACT_COLUMNS = """date_key, service_date, stop_id, trip_id, stop_sequence, schedule_relationship,
+  CAST(delay AS DOUBLE) AS arrival_delay_seconds, CAST(delay AS DOUBLE) AS departure_delay_seconds,
+  is_late, is_cancelled, is_orphan_trip, is_delay_outlier, feed_timestamp, _ingested_at"""
+
+_PER_DAY = """SELECT CAST(ts AS DATE) AS dt, count(*) AS n, CAST(sum(delay) AS BIGINT) AS delay
+  FROM (SELECT feed_timestamp AS ts, delay FROM updates)"""
+
+ORACLES |= {
+    "flatten_updates": BASE
+    + """, base AS (
+         SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s,
+           CASE WHEN event_id % 7 <> 0 THEN date_trunc('second', ts) END AS feed_timestamp,
+           CASE event_type WHEN 'signup' THEN 'CANCELED' WHEN 'purchase' THEN 'ADDED'
+                ELSE 'SCHEDULED' END AS relationship,
+           CASE WHEN event_id % 2 = 1 THEN strftime(ts, '%Y%m%d') ELSE '' END AS start_date
+         FROM ev)
+       SELECT CAST(event_id AS VARCHAR) AS entity_id, CAST(user_id AS VARCHAR) AS trip_id,
+         CAST(user_id % 25 AS VARCHAR) AS route_id, start_date, relationship AS schedule_relationship,
+         event_type AS stop_id,
+         CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+              WHEN 'signup' THEN 4 ELSE 5 END AS BIGINT) AS stop_sequence,
+         CAST(k AS DOUBLE) AS arrival_delay_seconds, CAST(s + k AS DOUBLE) AS arrival_time,
+         CAST(NULL AS DOUBLE) AS departure_delay_seconds, CAST(NULL AS DOUBLE) AS departure_time,
+         'SCHEDULED' AS stop_schedule_relationship, feed_timestamp, ts AS _ingested_at
+       FROM base
+       UNION ALL
+       SELECT CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(user_id % 25 AS VARCHAR),
+         start_date, relationship, '', 0, CASE WHEN k % 2 = 0 THEN 0 END,
+         CASE WHEN k % 2 = 0 THEN CAST(s AS DOUBLE) END, CAST(k AS DOUBLE), 0, 'SKIPPED',
+         feed_timestamp, ts FROM base""",
+    "flatten_service_alerts": BASE
+    + """, base AS (
+         SELECT CAST(event_id AS VARCHAR) AS entity_id, k, event_type,
+           CAST(user_id % 25 AS VARCHAR) AS route, CAST(user_id AS VARCHAR) AS trip,
+           coalesce(['UNKNOWN_CAUSE','OTHER_CAUSE','TECHNICAL_PROBLEM','STRIKE','DEMONSTRATION',
+             'ACCIDENT','HOLIDAY','WEATHER','MAINTENANCE','CONSTRUCTION','POLICE_ACTIVITY',
+             'MEDICAL_EMERGENCY'][CASE WHEN k < 50 AND k % 14 > 0 THEN k % 14 END], 'UNKNOWN_CAUSE')
+             AS cause,
+           coalesce(['NO_SERVICE','REDUCED_SERVICE','SIGNIFICANT_DELAYS','DETOUR',
+             'ADDITIONAL_SERVICE','MODIFIED_SERVICE','OTHER_EFFECT','UNKNOWN_EFFECT','STOP_MOVED',
+             'NO_EFFECT','ACCESSIBILITY_ISSUE'][CASE WHEN k < 50 AND k % 13 > 0 THEN k % 13 END],
+             'UNKNOWN_EFFECT') AS effect,
+           props AS header_text, CAST(NULL AS VARCHAR) AS description_text,
+           CASE WHEN k % 5 <> 0 THEN date_trunc('second', ts) END AS active_period_start,
+           CASE WHEN k % 5 <> 0 AND k % 3 <> 0 THEN date_trunc('second', ts) + INTERVAL 1 HOUR END
+             AS active_period_end,
+           ts AS _ingested_at
+         FROM ev)
+       SELECT entity_id, cause, effect, header_text, description_text,
+         CASE WHEN k % 2 = 0 THEN route END AS route_id, CASE WHEN k % 2 = 0 THEN '' END AS stop_id,
+         CAST(NULL AS VARCHAR) AS trip_id, active_period_start, active_period_end, _ingested_at
+       FROM base
+       UNION ALL
+       SELECT entity_id, cause, effect, header_text, description_text, '', event_type, trip,
+         active_period_start, active_period_end, _ingested_at FROM base WHERE k % 2 = 0""",
+    "csv_scan": """SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_linestatus AS stop_id,
+         CAST(l_linenumber AS BIGINT) AS stop_sequence, CAST(l_partkey AS VARCHAR) AS arrival_time,
+         CAST(l_suppkey AS VARCHAR) AS departure_time, CAST(l_quantity AS VARCHAR) AS shape_dist,
+         'A' AS _feed_version, 'a.zip' AS _source_file
+       FROM lineitem WHERE l_returnflag = 'A'""",
+    "versioned_append": """SELECT l_returnflag AS _feed_version, count(*) AS n,
+         CAST(sum(l_orderkey) AS BIGINT) AS trip_sum, CAST(1 AS BIGINT) AS loads
+       FROM lineitem GROUP BY l_returnflag""",
+    "partitioned_scan": BASE + _PER_DAY + " WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1",
+    "file_ingest": BASE + _PER_DAY + " GROUP BY 1",
+    "batch_file_append": BASE + _PER_DAY + " GROUP BY 1",
+    "missing_files": BASE
+    + f"""SELECT DISTINCT {_EVENT_PATH} AS subpath FROM ev
+       WHERE CAST(ts AS DATE) >= DATE '2024-01-18' AND {_EVENT_PATH} NOT IN
+         (SELECT {_EVENT_PATH} FROM ev WHERE k < 50)""",
+    "known_versions": """SELECT p_brand AS version FROM part UNION SELECT o_orderpriority FROM orders""",
+    "content_versions": "SELECT page_id, left(sha256(html), 12) AS version FROM pages",
+    "versions_from_names": """SELECT event_type AS version,
+         '/static/' || strftime(max(ts), '%Y%m%d') || '_' || event_type || '.zip' AS path
+       FROM events GROUP BY event_type""",
+    "fact_upsert": BASE + f"SELECT {_FACT_COLUMNS} FROM fact",
+    "fact_stream_upsert": BASE + f"SELECT {_FACT_COLUMNS} FROM fact",
+    "fact_high_water_mark": BASE.replace(
+        "  FROM updates\n  QUALIFY",
+        """  FROM (SELECT *, max(_ingested_at) FILTER (WHERE schedule_relationship = 'CANCELED'
+                         AND day(_ingested_at) <= 12) OVER () AS mark FROM updates)
+  WHERE _ingested_at > mark
+     OR (schedule_relationship = 'CANCELED' AND day(_ingested_at) <= 12)
+  QUALIFY""",
+    )
+    + f"SELECT {_FACT_COLUMNS} FROM fact",
+    "late_timetable": BASE
+    + """SELECT service_date, is_orphan_trip AND trip_id NOT IN (
+           SELECT CAST(c_custkey AS VARCHAR) FROM customer
+           WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0) AS is_orphan_trip, count(*) AS n
+       FROM fact GROUP BY ALL""",
+    "csv_extract": BASE + "SELECT * FROM route_day",
+    "full_refresh_table": BASE
+    + f"SELECT {_FACT_COLUMNS} FROM fact WHERE service_date = (SELECT max(service_date) FROM fact)",
+    "rule_report": BASE
+    + f""", found(t, rule, columns, severity, failures) AS (
+         SELECT *, 0 FROM (VALUES {_RULE_NAMES})
+         UNION ALL SELECT 'stg_routes', 'AcceptedValues', 'route_type', 'warn',
+           (SELECT count(*) FROM nation WHERE n_regionkey NOT IN (0, 2, 3, 4))
+         UNION ALL SELECT 'stg_stop_times', 'Relationship', 'trip_id', 'error',
+           (SELECT count(*) FROM stop_times WHERE trip_id NOT IN (SELECT trip_id FROM trips))
+         UNION ALL SELECT 'fact_trip_stop_performance', 'AcceptedRange', 'arrival_delay_seconds',
+           'error', (SELECT count(*) FROM fact WHERE delay < -600 OR delay > 100000)
+       )
+       SELECT t AS "table", rule, columns, severity, CAST(failures AS BIGINT) AS failures,
+         CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+       FROM found""",
+    "unmatched_trips": BASE
+    + """SELECT trip_id AS value, count(*) AS rows FROM updates
+       WHERE trip_id NOT IN (SELECT trip_id FROM trips) GROUP BY trip_id""",
+    "source_freshness": BASE
+    + """SELECT source, epoch_us(TIMESTAMP '2024-02-01') / 60000000.0::DOUBLE
+           - epoch_us(newest) / 60000000.0::DOUBLE AS age_minutes, 'error' AS status
+       FROM (SELECT 'gtfs_rt_trip_updates' AS source, max(ts) AS newest FROM events
+             UNION ALL SELECT 'gtfs_service_alerts', max(ts) + INTERVAL 15 MINUTE FROM events
+             WHERE event_type = 'error')""",
+    "pipeline_health": BASE
+    + """SELECT 'stale' AS problem, CAST(NULL AS VARCHAR) AS service_date,
+         epoch_us(TIMESTAMP '2024-02-01') / 3600000000.0::DOUBLE
+           - epoch_us(max(_ingested_at)) / 3600000000.0::DOUBLE AS value FROM fact
+       HAVING value > 3
+       UNION ALL
+       SELECT 'orphans', service_date,
+         CAST(count(*) FILTER (WHERE is_orphan_trip) AS DOUBLE) * 100.0::DOUBLE / count(*) AS pct
+       FROM fact WHERE service_date = (SELECT max(service_date) FROM fact)
+       GROUP BY service_date HAVING pct > 5""",
+    "row_counts": BASE
+    + """SELECT 'gtfs_rt_trip_updates' AS "table", count(*) AS rows FROM updates
+       UNION ALL SELECT 'gtfs_service_alerts', 2 * count(*) FROM alerts
+       UNION ALL SELECT 'fact', count(*) FROM fact""",
+}
+

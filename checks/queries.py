@@ -1,44 +1,19 @@
-"""One Spark query per operator or product, each over whole tables."""
+"""The data products, each over whole tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.adapt import Transit
+from checks.registry import query, wall_clock
 from headway.plans import findings, marts, risk, silver, staging, star
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
 # The published floors empty every group at the smallest scale; the queries use these.
 MIN_GROUP = 50
 MIN_STOP = 30
 
 
-def query(fn: Callable[[Transit], DataFrame]) -> Callable[[Transit], DataFrame]:
-    @wraps(fn)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(Transit(spark, sf_dir))
-
-    QUERIES[fn.__name__] = run
-    return fn
-
-
-def wall_clock(df: DataFrame) -> DataFrame:
-    """Timestamps without a zone, as the oracle has them."""
-    return df.select(
-        *[
-            F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
-            for n, t in df.dtypes
-        ]
-    )
-
-
 @query
 def stg_trip_updates(t: Transit) -> DataFrame:
     return wall_clock(t.updates.drop("arrival_time", "departure_time"))
