@@ -487,5 +487,21 @@ ORACLES |= {
     + """SELECT 'gtfs_rt_trip_updates' AS "table", count(*) AS rows FROM updates
        UNION ALL SELECT 'gtfs_service_alerts', 2 * count(*) FROM alerts
        UNION ALL SELECT 'fact', count(*) FROM fact""",
+    "version_aware_match": BASE
+    + """, history AS (
+         SELECT strftime(o_orderdate, '%Y%m') AS v, CAST(o_custkey AS VARCHAR) AS trip_id,
+           o_orderpriority AS trip_headsign, o_orderstatus AS service_id
+         FROM orders
+         QUALIFY row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y%m'), o_custkey
+           ORDER BY o_orderdate DESC, o_orderpriority, o_orderstatus) = 1
+       ),
+       current AS (
+         SELECT d.service_date, coalesce(max(v) FILTER (WHERE v || '01' <= d.service_date), min(v)) AS v
+         FROM (SELECT DISTINCT service_date FROM latest) d, (SELECT DISTINCT v FROM history)
+         GROUP BY d.service_date
+       )
+       SELECT l.trip_id, l.stop_id, l.service_date, c.v AS _feed_version, h.trip_headsign, h.service_id,
+         h.trip_id IS NULL AS is_orphan_trip
+       FROM latest l JOIN current c ON l.service_date = c.service_date
+       LEFT JOIN history h ON h.v = c.v AND h.trip_id = l.trip_id""",
 }
-

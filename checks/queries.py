@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.adapt import Transit
 from checks.registry import query, wall_clock
+from headway.operators.latest import latest_per_key
 from headway.plans import findings, marts, risk, silver, staging, star
 
 # The published floors empty every group at the smallest scale; the queries use these.
@@ -216,3 +217,52 @@ def risk_class_weights(t: Transit) -> DataFrame:
     return risk.class_weights(
         risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
     )
+
+
+def _trained(t: Transit) -> tuple[DataFrame, risk.Selection]:
+    rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
+    return risk.train_and_select(risk.mark_test_rows(rows), risk.candidates(trees=10, max_iter=50))
+
+
+@query
+def risk_class_report(t: Transit) -> DataFrame:
+    rows, selection = _trained(t)
+    report = risk.class_report(selection.model.transform(rows.filter("is_test")))
+    return report.select(
+        "*",
+        F.lit(selection.name).alias("model_name"),
+        *[F.lit(auc).alias(f"auc_{name}") for name, auc in selection.auc.items()],
+    )
+
+
+@query
+def risk_scores(t: Transit) -> DataFrame:
+    rows, selection = _trained(t)
+    return risk.score(rows, selection)
+
+
+@query
+def version_aware_match(t: Transit) -> DataFrame:
+    """Live trips against the order history: a month's orders are the timetable version of that month."""
+    month = F.date_format("_ingested_at", "yyyyMM")
+    history = t.bronze_trips.withColumn("_feed_version", month)
+    trip_versions = latest_per_key(
+        history,
+        ["_feed_version", "trip_id"],
+        [F.col("_ingested_at").desc(), F.col("trip_headsign"), F.col("service_id")],
+    )
+    versions = history.select(
+        "_feed_version", F.concat("_feed_version", F.lit("01")).alias("valid_from")
+    ).distinct()
+    matched = silver.match_trips_by_version(
+        silver.latest_snapshot(t.updates), trip_versions, versions
+    )
+    return matched.select(
+        "trip_id",
+        "stop_id",
+        "service_date",
+        "_feed_version",
+        "trip_headsign",
+        "service_id",
+        "is_orphan_trip",
+    )

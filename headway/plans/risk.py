@@ -18,6 +18,7 @@ from headway import constants as C
 from headway.functions.columns import ratio
 from headway.functions.shares import delay_measures
 from headway.operators.intervals import HOUR, flag_covered, interval_totals
+from headway.session import materialize
 
 NUMERIC_FEATURES = ("hour_of_day", "day_of_week_num", "had_active_alert")
 CATEGORICAL_FEATURES = ("route_short_name", "mode")
@@ -207,17 +208,20 @@ def select_best(auc: dict[str, float]) -> str:
     return max(auc, key=lambda name: (auc[name], name == "random_forest"))
 
 
-def train_and_select(marked: DataFrame, models: dict[str, Estimator]) -> Selection:
+def train_and_select(
+    marked: DataFrame, models: dict[str, Estimator]
+) -> tuple[DataFrame, Selection]:
     """Fit every candidate on the training rows and compare them on the test rows.
 
-    The feature rows are written to the checkpoint folder once: fitting reads them many times.
+    The feature rows are written once, since fitting reads them many times; they are returned for
+    scoring.
     """
-    marked = marked.checkpoint()
-    train, test = marked.filter(~F.col("is_test")), marked.filter("is_test")
+    rows = materialize(marked, "risk-features")
+    train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
     fitted = {name: fit(train, model) for name, model in models.items()}
     auc = {name: roc_auc(model.transform(test)) for name, model in fitted.items()}
     best = select_best(auc)
-    return Selection(best, fitted[best], auc)
+    return rows, Selection(best, fitted[best], auc)
 
 
 def score(rows: DataFrame, selection: Selection) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import constants as C
@@ -118,18 +118,19 @@ def silver_summary(silver: DataFrame) -> DataFrame:
     )
 
 
-def version_on_date(service_date: Column, versions: DataFrame) -> Column:
-    """The timetable version in force on a service date (yyyyMMdd): the last one that began on or before
-    it, or the first version for earlier dates.
+def with_version_on_date(snapshot: DataFrame, versions: DataFrame) -> DataFrame:
+    """Add the timetable version in force on the service date (yyyyMMdd): the last one that began on or
+    before it, or the first version for earlier dates.
 
     `versions` has one row per timetable version (_feed_version, valid_from yyyyMMdd): a few a month.
     """
-    history = versions.agg(
-        F.sort_array(F.collect_list(F.struct("valid_from", "_feed_version"))).alias("h")
-    ).scalar()
-    begun = F.filter(history, lambda v: v["valid_from"] <= service_date)
-    return F.coalesce(
-        F.try_element_at(begun, F.lit(-1))["_feed_version"], F.get(history, F.lit(0))["_feed_version"]
+    history = versions.agg(F.sort_array(F.collect_list(F.struct("valid_from", "_feed_version"))))
+    begun = F.filter("_history", lambda v: v["valid_from"] <= F.col("service_date"))
+    in_force = F.coalesce(F.try_element_at(begun, F.lit(-1)), F.get("_history", F.lit(0)))
+    return (
+        snapshot.withColumn("_history", history.scalar())
+        .withColumn("_feed_version", in_force["_feed_version"])
+        .drop("_history")
     )
 
 
@@ -140,5 +141,5 @@ def match_trips_by_version(
 
     `trip_versions` has one row per (_feed_version, trip_id).
     """
-    dated = snapshot.withColumn("_feed_version", version_on_date(F.col("service_date"), versions))
+    dated = with_version_on_date(snapshot, versions)
     return match_trips(dated, trip_versions, on=("_feed_version", "trip_id"), **delay_bounds)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,18 @@ def read_or_empty(
         return spark.createDataFrame([], schema)
 
 
+def ensure_exists(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> None:
+    """Create an empty table at `path` unless something is there."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*partition_by).format(fmt).save(path)
+
+
 class Ledger:
     """Rows (scope, item, state, recorded_at) under one path. One writer at a time."""
 
@@ -32,9 +44,10 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        ensure_exists(spark, path, self.SCHEMA, fmt="json")
 
     def rows(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, self.SCHEMA, "json")
+        return self.spark.read.schema(self.SCHEMA).json(self.path)
 
     def items(self, scope: str, state: str) -> DataFrame:
         return (

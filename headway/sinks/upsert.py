@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from headway import constants as C
 from headway import schemas
 from headway.operators.latest import latest_per_key
-from headway.sinks.ledger import Ledger, read_or_empty
+from headway.sinks.ledger import Ledger, ensure_exists, read_or_empty
 
 LATEST_WINS = "latest_wins"
 HIGH_WATER_MARK = "high_water_mark"
@@ -63,6 +63,7 @@ class UpsertTable:
         HIGH_WATER_MARK first drops batch rows not newer than the newest row of the table, so late
         rows never enter; an empty table takes everything.
         """
+        ensure_exists(self.spark, self.path, self.schema, [self.partition])
         self.recover()
         batch_id = batch_id or uuid.uuid4().hex
         if mode == HIGH_WATER_MARK:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.sinks.ledger import read_or_empty
+from headway.sinks.ledger import ensure_exists, read_or_empty
 from headway.sources.manifest import list_files, partition_day
 
 
@@ -31,8 +31,9 @@ def append_new_files(
     `since` limits both sides to recent day folders.
     """
     tracked = T.StructType([*schema.fields, T.StructField("_source_file", T.StringType())])
+    ensure_exists(spark, target, tracked, ["dt"])
     landed = list_files(spark, source).filter(F.col("path").endswith(".parquet"))
-    done = read_or_empty(spark, target, tracked)
+    done = spark.read.schema(tracked).parquet(target)
     if since is not None:
         landed = landed.filter(partition_day(F.col("path")) >= F.lit(since))
         done = done.filter(F.col("dt") >= F.lit(since))
