@@ -504,4 +504,7 @@ ORACLES |= {
          h.trip_id IS NULL AS is_orphan_trip
        FROM latest l JOIN current c ON l.service_date = c.service_date
        LEFT JOIN history h ON h.v = c.v AND h.trip_id = l.trip_id""",
+    "sql_over_views": BASE
+    + """SELECT route_short_name, 100 * avg(CASE WHEN is_late = false THEN 1 ELSE 0 END) AS pct,
+         count(*) AS n FROM scored WHERE mode = 'train' GROUP BY 1 HAVING count(*) >= 50""",
 }

@@ -34,6 +34,15 @@ FEEDS = {
 }
 
 
+DIMENSIONS = ("dim_date", "dim_route", "dim_stop", "dim_trip", "fact_service_alerts")
+MARTS = (
+    "mart_route_daily_performance",
+    "mart_stop_daily_performance",
+    "mart_line_delay_concentration",
+    "mart_alert_delay_impact",
+)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the tables of one warehouse are."""
@@ -78,6 +87,26 @@ class Warehouse:
         )
 
 
+def create_views(w: Warehouse) -> list[str]:
+    """Every table of the warehouse under its SQL name: staging and silver as views over bronze, gold as
+    stored."""
+    views = {f"stg_gtfs_static_{t}": w.static(t) for t in schemas.STATIC}
+    views |= {
+        "stg_gtfs_rt_trip_updates": w.updates(),
+        "stg_gtfs_service_alerts": w.alerts(),
+        "int_trip_stop_performance": w.silver(),
+        "fact_trip_stop_performance": w.fact.read(),
+        **{name: w.table(name) for name in (*DIMENSIONS, *MARTS)},
+    }
+    return views_of(views)
+
+
+def views_of(tables: dict[str, DataFrame]) -> list[str]:
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return list(tables)
+
+
 def land_messages(spark: SparkSession, feed: str, messages: str, landing: str) -> int:
     """Flatten nested feed messages (JSON lines) into the feed's landing folder; returns the rows added."""
     schema, nested, flatten = FEEDS[feed]

@@ -18,7 +18,7 @@ from headway import constants as C
 from headway.functions.columns import ratio
 from headway.functions.shares import delay_measures
 from headway.operators.intervals import HOUR, flag_covered, interval_totals
-from headway.session import materialize
+from headway.session import materialize, scratch_dir
 
 NUMERIC_FEATURES = ("hour_of_day", "day_of_week_num", "had_active_alert")
 CATEGORICAL_FEATURES = ("route_short_name", "mode")
@@ -159,8 +159,15 @@ def candidates(trees: int = 200, max_iter: int = 1000) -> dict[str, Estimator]:
 
 
 def fit(train: DataFrame, model: Estimator) -> PipelineModel:
+    """Fit the feature stages and the model, and return the fitted pipeline as saved to the shared folder.
+
+    The saved form leaves the training summary behind, which holds on to the session and cannot be
+    sent to tasks.
+    """
     weighted = train.join(class_weights(train).select(LABEL, "class_weight"), LABEL)
-    return Pipeline(stages=[*feature_stages(), model]).fit(weighted)
+    path = scratch_dir(train.sparkSession, "risk-model")
+    Pipeline(stages=[*feature_stages(), model]).fit(weighted).save(path)
+    return PipelineModel.load(path)
 
 
 def roc_auc(scored: DataFrame) -> float:

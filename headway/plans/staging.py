@@ -28,9 +28,3 @@ def static_table(table: str, bronze: DataFrame) -> DataFrame:
     keys = schemas.STATIC_KEYS[table]
     ties = [F.col(c) for c in schemas.STATIC[table].fieldNames() if c not in keys]
     return latest_per_key(bronze.select(*columns), keys, [*order, *ties])
-
-
-def create_views(tables: dict[str, DataFrame], prefix: str = "stg_") -> None:
-    """Expose staging frames to SQL by name."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(f"{prefix}{name}")

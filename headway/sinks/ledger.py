@@ -57,6 +57,16 @@ class Ledger:
             .distinct()
         )
 
+    def unfinished(self, scope: str, begun: str, done: str) -> DataFrame:
+        """Items that reached `begun` and never `done`."""
+        state = F.col("state")
+        seen = self.rows().filter(F.col("scope") == scope).groupBy("item")
+        return (
+            seen.agg(F.bool_or(state == begun).alias("begun"), F.bool_or(state == done).alias("done"))
+            .filter("begun AND NOT done")
+            .select("item")
+        )
+
     def record(self, scope: str, items: Iterable[str], state: str) -> None:
         entries = [(scope, item, state) for item in items]
         if entries:

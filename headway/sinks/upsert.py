@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ class UpsertTable:
     partition: str = "service_date"
     version: str = "_ingested_at"
 
-    @property
+    @cached_property
     def _ledger(self) -> Ledger:
         return Ledger(self.spark, f"{self.path}_log")
 
@@ -73,27 +74,25 @@ class UpsertTable:
             raise ValueError(f"unknown mode {mode!r}")
 
         # Written once: what follows reads the batch more than once.
-        self._write(self._newest(batch.select(*self.schema.names)), self._incoming)
+        self._write(self._even(self._newest(batch.select(*self.schema.names))), self._incoming)
         incoming = self._load(self._incoming)
         touched = self._touched(incoming)
         sided = incoming.withColumn("_side", F.lit(1)).unionByName(
             touched.withColumn("_side", F.lit(0))
         )
-        self._write(self._newest(sided, F.col("_side").desc()).drop("_side"), self._staging)
+        merged = self._newest(sided, F.col("_side").desc()).drop("_side")
+        self._write(self._even(merged), self._staging)
         self._ledger.record("upsert", [batch_id], "staged")
         self._apply(batch_id)
 
     def recover(self) -> None:
         """Finish a batch that was staged but not applied."""
-        ledger = self._ledger
-        open_batches = ledger.items("upsert", "staged").join(
-            ledger.items("upsert", "applied"), "item", "left_anti"
-        )
         # The staging folder holds one batch, so there is at most one.
-        for row in open_batches.limit(1).collect():
+        for row in self._ledger.unfinished("upsert", "staged", "applied").limit(1).collect():
             self._apply(row["item"])
 
     def _apply(self, batch_id: str) -> None:
+        # Staged files hold one partition value each, so they are copied without another shuffle.
         self._write(self._load(self._staging), self.path, dynamic=True)
         self._ledger.record("upsert", [batch_id], "applied")
 
@@ -107,13 +106,16 @@ class UpsertTable:
 
     def _write(self, df: DataFrame, path: str, dynamic: bool = False) -> None:
         (
-            df.hint("rebalance", self.partition)
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(self.partition)
             .parquet(path)
         )
 
+    def _even(self, df: DataFrame) -> DataFrame:
+        """Few files per partition value; a value with most of the rows is split over several tasks."""
+        return df.hint("rebalance", self.partition)
+
     def _touched(self, incoming: DataFrame) -> DataFrame:
         """Existing rows of the partitions the batch has rows in."""
         values = incoming.select(self.partition).distinct()

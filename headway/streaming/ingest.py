@@ -75,6 +75,8 @@ def upsert_files(
 def first_captures(alerts: DataFrame, keys: list[str], *, keep: str = "1 day") -> DataFrame:
     """Drop repeated captures of an alert seen within `keep`, with state bounded by that time.
 
-    A capture repeated later passes again, so the alert fact still takes distinct rows.
+    A capture repeated later passes again, so the alert fact still takes distinct rows. As with any
+    watermark, rows older than `keep` behind the newest one are not let through: `keep` must exceed
+    how late a file can land. The batch form, fact_service_alerts, has no such limit.
     """
     return alerts.withWatermark("_ingested_at", keep).dropDuplicatesWithinWatermark(keys)
