@@ -30,7 +30,7 @@ def _plain(value):
     if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
         return None
     if isinstance(value, float):
-        return float(f"{value:.10g}")
+        return value
     if hasattr(value, "isoformat"):
         return pd.Timestamp(value).isoformat()
     return value.item() if hasattr(value, "item") else value

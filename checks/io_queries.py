@@ -38,9 +38,9 @@ def flatten_service_alerts(t: Transit) -> DataFrame:
 # Timetable files.
 
 
-def _land_stop_times(t: Transit, landing: str, versions: Column) -> None:
-    """Line items as unpacked CSV files, one timetable version per return flag."""
-    rows = t.table("lineitem").select(
+def _stop_time_rows(t: Transit) -> DataFrame:
+    """Line items as timetable rows, one timetable version per return flag."""
+    return t.table("lineitem").select(
         F.col("l_orderkey").alias("trip_id"),
         F.col("l_linenumber").alias("stop_sequence"),
         F.col("l_linestatus").alias("stop_id"),
@@ -49,30 +49,34 @@ def _land_stop_times(t: Transit, landing: str, versions: Column) -> None:
         F.col("l_quantity").alias("shape_dist"),
         F.col("l_returnflag").alias("version"),
     )
-    for (version,) in rows.select("version").distinct().filter(versions).collect():
-        (
-            rows.filter(F.col("version") == version)
-            .drop("version")
-            .write.option("header", True)
-            .csv(f"{landing}/{version}/stop_times.txt")
-        )
+
+
+def _land_csv(rows: DataFrame, landing: str, version: str) -> str:
+    path = f"{landing}/{version}/stop_times.txt"
+    rows.drop("version").write.option("header", True).csv(path)
+    return path
+
+
+def _land_versions(t: Transit, landing: str, wanted: Column) -> None:
+    rows = _stop_time_rows(t).filter(wanted)
+    for (version,) in rows.select("version").distinct().collect():
+        _land_csv(rows.filter(F.col("version") == version), landing, version)
 
 
 @query
 def csv_scan(t: Transit) -> DataFrame:
-    landing = scratch_dir(t.spark, "landing")
-    _land_stop_times(t, landing, F.col("version") == "A")
-    path = f"{landing}/A/stop_times.txt"
-    return static.read_static_file(t.spark, path, "stop_times", "A", "a.zip").drop("_ingested_at")
+    path = _land_csv(_stop_time_rows(t), scratch_dir(t.spark, "landing"), "A")
+    scanned = static.read_static_file(t.spark, path, "stop_times", "A", "a.zip")
+    return scanned.drop("_ingested_at")
 
 
 @query
 def versioned_append(t: Transit) -> DataFrame:
     """Two versions, then a third, then nothing new."""
     landing, bronze = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "bronze")
-    _land_stop_times(t, landing, F.col("version") != "R")
+    _land_versions(t, landing, F.col("version") != "R")
     _load_versions(t, landing, bronze)
-    _land_stop_times(t, landing, F.col("version") == "R")
+    _land_versions(t, landing, F.col("version") == "R")
     _load_versions(t, landing, bronze)
     _load_versions(t, landing, bronze)
     loaded = static.read_static_table(t.spark, bronze, "stop_times")
@@ -119,8 +123,7 @@ def _per_day(rows: DataFrame) -> DataFrame:
 def partitioned_scan(t: Transit) -> DataFrame:
     landing = scratch_dir(t.spark, "landing")
     _land_updates(t, landing, F.lit(True))
-    rows = realtime.read_snapshots(t.spark, landing, schemas.TRIP_UPDATES)
-    return _per_day(rows.filter(F.col("dt") >= F.lit(dt.date(2024, 1, 10))))
+    return _per_day(realtime.read_snapshots(t.spark, landing, schemas.TRIP_UPDATES))
 
 
 @query
@@ -285,13 +288,12 @@ def csv_extract(t: Transit) -> DataFrame:
 
 @query
 def full_refresh_table(t: Transit) -> DataFrame:
-    """A fact written twice, partitioned by service date, then read for its latest day."""
+    """A fact written twice, partitioned by service date."""
     path = f"{scratch_dir(t.spark, 'gold')}/fact"
     for _ in range(2):
         tables.write_table(t.fact, path, ["service_date"])
     fact = t.spark.read.schema(schemas.FACT_TRIP_STOP).parquet(path)
-    latest = fact.filter(F.col("service_date") == fact.agg(F.max("service_date")).scalar())
-    return _fact_output(latest.select(*schemas.FACT_TRIP_STOP.names))
+    return _fact_output(fact.select(*schemas.FACT_TRIP_STOP.names))
 
 
 # Data rules.

@@ -39,7 +39,8 @@ def running_totals(
     measures: Sequence[str],
     keep: Column | None = None,
 ) -> DataFrame:
-    """Replace each measure by its running total in (bucket, order), per key.
+    """Replace each measure by its running total in (bucket, order), per key, and add the key's whole total
+    as <measure>_total.
 
     Totals run inside each (keys, bucket) first; what earlier buckets add is a running total over one
     row per bucket. `bucket` must not contradict `order`. Rows not in `keep` count but are not returned.
@@ -49,15 +50,14 @@ def running_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(bucket)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    buckets = Window.partitionBy(*keys).orderBy(bucket)
+    earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
+    every = buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bucket_totals = df.groupBy(*keys, bucket).agg(*[F.sum(m).alias(m) for m in measures])
     carried = bucket_totals.select(
         *[F.col(k).alias(f"_of_{k}") for k in (*keys, bucket)],
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_carried_{m}") for m in measures],
+        *[F.sum(m).over(every).alias(f"{m}_total") for m in measures],
     )
     others = [c for c in df.columns if c not in measures]
     rows = df.select(*others, *[F.sum(m).over(inside).alias(m) for m in measures])
@@ -65,7 +65,9 @@ def running_totals(
         rows = rows.filter(keep)
     same_bucket = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*keys, bucket)]
     return rows.join(carried, same_bucket).select(
-        *others, *[(F.col(m) + F.col(f"_carried_{m}")).alias(m) for m in measures]
+        *others,
+        *[(F.col(m) + F.col(f"_carried_{m}")).alias(m) for m in measures],
+        *[f"{m}_total" for m in measures],
     )
 
 
@@ -79,23 +81,25 @@ def interval_totals(
     end: str,
     group: Sequence[str],
     measures: Mapping[str, Column],
-    bounds: tuple[bool, bool] = (True, True),
+    bounds: tuple[bool | Column, bool | Column] = (True, True),
     bucket_seconds: int = HOUR,
 ) -> DataFrame:
     """Per `group` of windows, the sum of each whole-number measure over the points inside them.
 
     A point inside several windows of a group counts once for each. `bounds` says whether the start
-    and the end belong to the window. Groups whose windows hold no point are left out.
+    and the end belong to the window. Groups whose windows hold no point are left out. If `key` is in
+    `group`, <measure>_total is the sum over all points of the key, in a window or not.
 
     A window's total is the running total at its end minus the one just before its start, so points
     are summed once per instant and the rows of one (key, bucket) are at most its distinct instants.
     """
     names = list(measures)
     instants = (
-        points.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+        points.filter(F.col(key).isNotNull())
         .groupBy(key, F.col(at).alias("_at"))
         .agg(F.count(F.lit(1)).alias("_points"), *[F.sum(m).alias(n) for n, m in measures.items()])
     )
+    # A point without a time sorts before every edge: it adds the same to both ends of each window.
     instants = instants.select(
         key,
         "_at",
@@ -104,18 +108,18 @@ def interval_totals(
         *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names],
     )
 
-    start_in, end_in = bounds
+    start_in, end_in = (b if isinstance(b, Column) else F.lit(b) for b in bounds)
     opening = F.struct(
         F.col(start).alias("at"),
-        F.lit(BEFORE_ROWS if start_in else AFTER_ROWS).alias("side"),
+        F.when(start_in, BEFORE_ROWS).otherwise(AFTER_ROWS).alias("side"),
         F.lit(-1).alias("sign"),
     )
     closing = F.struct(
         F.col(end).alias("at"),
-        F.lit(AFTER_ROWS if end_in else BEFORE_ROWS).alias("side"),
+        F.when(end_in, AFTER_ROWS).otherwise(BEFORE_ROWS).alias("side"),
         F.lit(1).alias("sign"),
     )
-    ordered = F.col(start) <= F.col(end) if start_in and end_in else F.col(start) < F.col(end)
+    ordered = (F.col(start) < F.col(end)) | ((F.col(start) == F.col(end)) & start_in & end_in)
     edges = (
         windows.filter(F.col(key).isNotNull() & ordered)
         .select(
@@ -153,11 +157,13 @@ def interval_totals(
         & (F.col("_edge_at") == F.col("_at"))
         & (F.col("_edge_side") == F.col("_side")),
     )
+    whole = [F.max(f"{n}_total").alias(f"{n}_total") for n in names] if key in group else []
     return (
         at_edges.groupBy(*[F.col(f"_group_{g}").alias(g) for g in group])
         .agg(
             F.sum(F.col("_weight") * F.col("_points")).alias("point_count"),
             *[F.sum(F.col("_weight") * F.col(n)).alias(n) for n in names],
+            *whole,
         )
         .filter(F.col("point_count") > 0)
     )

@@ -25,7 +25,6 @@ def cumulative_share(
 
     Only one row per magnitude bucket passes through a single task.
     """
-    total = df.agg(F.sum(value).alias("total")).scalar()
     ranked = df.select(
         "*", F.col(value).alias("_running"), magnitude_bucket(F.col(value)).alias("_magnitude")
     )
@@ -36,7 +35,7 @@ def cumulative_share(
         [F.col(value).desc(), *[F.col(c).asc() for c in tie_break]],
         ["_running"],
     )
-    whole = F.nullif(total, F.lit(0))
+    whole = F.nullif(F.col("_running_total"), F.lit(0))
     return running.select(
         *df.columns,
         pct(F.col(value), whole).alias(share),

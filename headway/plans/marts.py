@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.columns import ratio, whole_seconds
@@ -78,18 +78,6 @@ def line_delay_concentration(fact: DataFrame, dim_route: DataFrame) -> DataFrame
     )
 
 
-def _route_baseline(matched: DataFrame, dim_route: DataFrame) -> DataFrame:
-    seconds = whole_seconds(F.col(_DELAY))
-    per_route = matched.groupBy("route_key").agg(
-        F.sum(seconds).alias("s"), F.count(seconds).alias("n")
-    )
-    return (
-        per_route.join(dim_route.select("route_key", "route_id"), "route_key")
-        .groupBy("route_id")
-        .agg(ratio(F.sum("s"), F.sum("n")).alias("baseline"))
-    )
-
-
 def _closed_windows(alerts: DataFrame) -> DataFrame:
     return (
         alerts.filter(
@@ -111,15 +99,17 @@ def _closed_windows(alerts: DataFrame) -> DataFrame:
 _ALERT = ["route_id", "header_text", "cause", "effect"]
 
 
-def _delay_in_windows(matched: DataFrame, windows: DataFrame, **bounds) -> DataFrame:
+def _delay_in_windows(
+    fact: DataFrame, windows: DataFrame, group: list[str], **window_columns
+) -> DataFrame:
     return interval_totals(
-        matched,
+        _matched(fact),
         windows,
         key="route_key",
         at="feed_timestamp",
-        group=_ALERT,
+        group=["route_key", *group],
         measures=delay_measures(_DELAY),
-        **bounds,
+        **window_columns,
     )
 
 
@@ -129,20 +119,22 @@ def alert_delay_impact(fact: DataFrame, dim_route: DataFrame, alerts: DataFrame)
     Overlapping windows of one alert text count a row once each. Always read the lift together with
     its observation count.
     """
-    matched = _matched(fact)
     during = _delay_in_windows(
-        matched,
+        fact,
         _closed_windows(alerts),
+        _ALERT,
         start="active_period_start",
         end="active_period_end",
     )
     mean = ratio(F.col("delay_sum"), F.col("delay_count"))
-    return during.join(_route_baseline(matched, dim_route), "route_id").select(
+    baseline = ratio(F.col("delay_sum_total"), F.col("delay_count_total"))
+    # Only routes of the timetable have a baseline.
+    return during.join(dim_route.select("route_key"), "route_key", "left_semi").select(
         *_ALERT,
         F.col("point_count").alias("observations_during_alert"),
         F.round(mean, 1).alias("avg_delay_during_alert_seconds"),
-        F.round("baseline", 1).alias("baseline_avg_delay_seconds"),
-        F.round(mean - F.col("baseline"), 1).alias("delay_lift_seconds"),
+        F.round(baseline, 1).alias("baseline_avg_delay_seconds"),
+        F.round(mean - baseline, 1).alias("delay_lift_seconds"),
     )
 
 
@@ -150,29 +142,42 @@ def delay_around_alerts(
     fact: DataFrame, alerts: DataFrame, *, margin: str = "2 hours"
 ) -> DataFrame:
     """Mean delay in the `margin` before each alert window, in it, and in the `margin` after it."""
-    matched = _matched(fact)
-    windows = _closed_windows(alerts)
     gap = F.expr(f"interval {margin}")
     start, end = F.col("active_period_start"), F.col("active_period_end")
-    phases = {
-        "before": (start - gap, start, (True, False)),
-        "during": (start, end, (True, True)),
-        "after": (end, end + gap, (False, True)),
-    }
-    parts = [
-        _delay_in_windows(
-            matched,
-            windows.filter(start <= end).select(
-                "route_key", *_ALERT, lo.alias("_from"), hi.alias("_to")
+
+    def part(phase: str, lo: Column, hi: Column, lo_in: bool, hi_in: bool) -> Column:
+        return F.struct(
+            F.lit(phase).alias("phase"),
+            lo.alias("lo"),
+            hi.alias("hi"),
+            F.lit(lo_in).alias("lo_in"),
+            F.lit(hi_in).alias("hi_in"),
+        )
+
+    parts = (
+        _closed_windows(alerts)
+        .filter(start <= end)
+        .select(
+            "route_key",
+            *_ALERT,
+            F.inline(
+                F.array(
+                    part("before", start - gap, start, True, False),
+                    part("during", start, end, True, True),
+                    part("after", end, end + gap, False, True),
+                )
             ),
-            start="_from",
-            end="_to",
-            bounds=bounds,
-        ).select("*", F.lit(phase).alias("phase"))
-        for phase, (lo, hi, bounds) in phases.items()
-    ]
-    before, during, after = parts
-    return before.unionByName(during).unionByName(after).select(
+        )
+    )
+    totals = _delay_in_windows(
+        fact,
+        parts,
+        [*_ALERT, "phase"],
+        start="lo",
+        end="hi",
+        bounds=(F.col("lo_in"), F.col("hi_in")),
+    )
+    return totals.select(
         *_ALERT,
         "phase",
         F.col("point_count").alias("observations"),

@@ -30,7 +30,7 @@ def ensure_exists(
     fmt: str = "parquet",
 ) -> None:
     """Create an empty table at `path` unless something is there."""
-    empty = spark.createDataFrame([], schema)
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     empty.write.mode("ignore").partitionBy(*partition_by).format(fmt).save(path)
 
 
@@ -68,12 +68,16 @@ class Ledger:
         )
 
     def record(self, scope: str, items: Iterable[str], state: str) -> None:
-        entries = [(scope, item, state) for item in items]
-        if entries:
+        names = list(items)
+        if names:
             (
-                self.spark.createDataFrame(entries, "scope string, item string, state string")
-                .withColumn("recorded_at", F.current_timestamp())
-                .coalesce(1)
+                self.spark.range(0, 1, 1, 1)
+                .select(
+                    F.lit(scope).alias("scope"),
+                    F.explode(F.array(*[F.lit(n) for n in names])).alias("item"),
+                    F.lit(state).alias("state"),
+                    F.current_timestamp().alias("recorded_at"),
+                )
                 .write.mode("append")
                 .json(self.path)
             )

@@ -87,6 +87,17 @@ def test_interval_totals_of_overlapping_windows_count_twice(spark):
     assert rows(got) == [("g", 2, 20)]
 
 
+def test_key_totals_count_every_point_even_without_a_time(spark):
+    points = points_df(spark, [("k", 5, 10), ("k", 500, 1), ("o", 5, 7)])
+    untimed = spark.createDataFrame([("k", None, 100)], points.schema)
+    got = interval_totals(
+        points.union(untimed),
+        windows_df(spark, [("k", "g", 0, 10)]),
+        key="k", at="at", start="a", end="b", group=["k", "g"], measures={"s": F.col("v")},
+    )
+    assert rows(got) == [("k", "g", 1, 10, 111)]
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_flag_covered_matches_brute_force(spark, seed):
     points, windows = random_case(seed)
