@@ -74,14 +74,15 @@ class UpsertTable:
             raise ValueError(f"unknown mode {mode!r}")
 
         # Written once: what follows reads the batch more than once.
-        self._write(self._even(self._newest(batch.select(*self.schema.names))), self._incoming)
+        batch.select(*self.schema.names).write.mode("overwrite").parquet(self._incoming)
         incoming = self._load(self._incoming)
         touched = self._touched(incoming)
         sided = incoming.withColumn("_side", F.lit(1)).unionByName(
             touched.withColumn("_side", F.lit(0))
         )
         merged = self._newest(sided, F.col("_side").desc()).drop("_side")
-        self._write(self._even(merged), self._staging)
+        # Few files per partition value; a value with most of the rows is split over several tasks.
+        self._write(merged.hint("rebalance", self.partition), self._staging)
         self._ledger.record("upsert", [batch_id], "staged")
         self._apply(batch_id)
 
@@ -112,10 +113,6 @@ class UpsertTable:
             .parquet(path)
         )
 
-    def _even(self, df: DataFrame) -> DataFrame:
-        """Few files per partition value; a value with most of the rows is split over several tasks."""
-        return df.hint("rebalance", self.partition)
-
     def _touched(self, incoming: DataFrame) -> DataFrame:
         """Existing rows of the partitions the batch has rows in."""
         values = incoming.select(self.partition).distinct()

@@ -74,19 +74,29 @@ def test_alert_impact_forms_no_pairs(spark, stored_fact):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_a_hot_trip_is_split_in_the_reconciliation_join(spark, tmp_path):
-    hot = spark.range(200_000).select(
-        F.lit("hot").alias("trip_id"),
+def test_a_hot_trip_is_split_in_both_reconciliation_joins(spark):
+    """A trip with most of the live rows meets versioned timetables without one task taking it all."""
+    live = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("trip_id"),
+        (F.col("id") % 2).alias("stop_sequence"),
         F.concat(F.lit("stop"), F.col("id")).alias("stop_id"),
         F.lit(1.0).alias("arrival_delay_seconds"),
     )
-    rest = spark.range(2000).select(
-        F.concat(F.lit("t"), F.col("id")).alias("trip_id"), F.lit("s").alias("stop_id"), F.lit(2.0)
-    )
-    trips = spark.range(2000).select(
-        F.concat(F.lit("t"), F.col("id")).alias("trip_id"),
+    lineage = [
+        F.lit("v1").alias("_feed_version"),
+        F.lit("f").alias("_source_file"),
+        F.current_timestamp().alias("_ingested_at"),
+    ]
+    known = spark.range(2000).select(
+        F.when(F.col("id") == 1, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("trip_id"),
+        F.lit("r1").alias("route_id"),
+        F.lit("wk").alias("service_id"),
         F.lit("x").alias("trip_headsign"),
-        F.lit("y").alias("service_id"),
+        F.lit("s").alias("stop_id"),
+        (F.col("id") % 2).alias("stop_sequence"),
+        F.lit("08:00:00").alias("arrival_time"),
+        F.lit("08:00:00").alias("departure_time"),
+        *lineage,
     )
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -96,8 +106,10 @@ def test_a_hot_trip_is_split_in_the_reconciliation_join(spark, tmp_path):
         "spark.sql.shuffle.partitions": "8",
     }
     with settings(spark, **conf):
-        matched = silver.match_trips(hot.union(rest), trips)
-        matched.write.format("noop").mode("overwrite").save()
-        assert matched.count() == 202_000
-        matched.collect()
-        assert "skew=true" in plan(matched)
+        matched = silver.match_trips(live, staging.static_table("trips", known))
+        scheduled = silver.attach_schedule(matched, staging.static_table("stop_times", known))
+        got = scheduled.collect()
+        assert len(got) == 200_000
+        assert sum(not r.is_orphan_trip for r in got) >= 180_000
+        assert sum(r.scheduled_arrival_time_of_day is not None for r in got) >= 80_000
+        assert plan(scheduled).count("skew=true") >= 2
