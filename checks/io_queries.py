@@ -113,10 +113,11 @@ def _early() -> Column:
 
 
 def _per_day(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("dt").agg(
+    days = rows.groupBy("dt").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("arrival_delay_seconds").cast("bigint")).alias("delay"),
     )
+    return wall_clock(days)
 
 
 @query

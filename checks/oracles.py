@@ -220,7 +220,7 @@ ORACLES: dict[str, str] = {
          round(CAST(sum(delay) AS DOUBLE) / count(delay), 1) AS avg_arrival_delay_seconds,
          CAST(min(delay) AS DOUBLE) AS min_arrival_delay_seconds,
          CAST(max(delay) AS DOUBLE) AS max_arrival_delay_seconds FROM fact""",
-    "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date,
+    "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(d AS DATE) AS VARCHAR) AS full_date,
          dayname(d) AS day_of_week, dayofweek(d) NOT IN (0, 6) AS is_weekday
        FROM (SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE),
                     CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS d FROM orders)""",
@@ -361,7 +361,7 @@ _FACT_COLUMNS = """date_key, service_date, stop_id, trip_id, stop_sequence, sche
   CAST(delay AS DOUBLE) AS arrival_delay_seconds, CAST(delay AS DOUBLE) AS departure_delay_seconds,
   is_late, is_cancelled, is_orphan_trip, is_delay_outlier, feed_timestamp, _ingested_at"""
 
-_PER_DAY = """SELECT CAST(ts AS DATE) AS dt, count(*) AS n, CAST(sum(delay) AS BIGINT) AS delay
+_PER_DAY = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n, CAST(sum(delay) AS BIGINT) AS delay
   FROM (SELECT feed_timestamp AS ts, delay FROM updates)"""
 
 ORACLES |= {

@@ -63,7 +63,7 @@ def silver_summary(t: Transit) -> DataFrame:
 
 @query
 def dim_date(t: Transit) -> DataFrame:
-    return star.dim_date(t.bronze_calendar)
+    return wall_clock(star.dim_date(t.bronze_calendar))
 
 
 @query

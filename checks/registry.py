@@ -25,12 +25,10 @@ def query(fn: Callable[[Transit], DataFrame]) -> Callable[[Transit], DataFrame]:
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
-    """Timestamps without a zone, as the oracle has them."""
+    """Timestamps without a zone and dates as text, which both engines hand over alike."""
+    plain = {"timestamp": "timestamp_ntz", "date": "string"}
     return df.select(
-        *[
-            F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
-            for n, t in df.dtypes
-        ]
+        *[F.col(n).cast(plain[t]).alias(n) if t in plain else F.col(n) for n, t in df.dtypes]
     )
 
 
