@@ -16,7 +16,7 @@ from headway import jobs, schemas
 from headway.operators import quality
 from headway.operators.flatten import flatten_alerts, flatten_trip_updates
 from headway.plans import marts, rules, silver, staging, star
-from headway.session import scratch_dir
+from headway.session import materialize, scratch_dir
 from headway.sinks import tables
 from headway.sinks.upsert import HIGH_WATER_MARK, UpsertTable, refreshed_orphans
 from headway.sources import manifest, realtime, static
@@ -301,7 +301,9 @@ def full_refresh_table(t: Transit) -> DataFrame:
 
 
 def _rule_tables(t: Transit) -> dict[str, DataFrame]:
-    daily = marts.route_daily_performance(t.fact, t.dim_route)
+    """The fact as a stored table, which is what the rules check; staging as views."""
+    fact = materialize(t.fact, "fact")
+    daily = marts.route_daily_performance(fact, t.dim_route)
     return {
         "stg_routes": t.routes,
         "stg_stops": t.stops,
@@ -313,10 +315,10 @@ def _rule_tables(t: Transit) -> dict[str, DataFrame]:
         "dim_date": star.dim_date(t.bronze_calendar),
         "dim_route": t.dim_route,
         "dim_stop": t.dim_stop,
-        "fact_trip_stop_performance": t.fact,
+        "fact_trip_stop_performance": fact,
         "fact_service_alerts": t.fact_alerts,
         "mart_route_daily_performance": daily,
-        "mart_line_delay_concentration": marts.line_delay_concentration(t.fact, t.dim_route),
+        "mart_line_delay_concentration": marts.line_delay_concentration(fact, t.dim_route),
     }
 
 

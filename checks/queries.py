@@ -221,7 +221,7 @@ def risk_class_weights(t: Transit) -> DataFrame:
 
 def _trained(t: Transit) -> tuple[DataFrame, risk.Selection]:
     rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
-    return risk.train_and_select(risk.mark_test_rows(rows), risk.candidates(trees=10, max_iter=50))
+    return risk.train_and_select(rows, risk.candidates(trees=10, max_iter=50))
 
 
 @query

@@ -13,8 +13,11 @@ A step that fails raises, so nothing after it runs; every step can be run again.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,19 +117,42 @@ def land_messages(spark: SparkSession, feed: str, messages: str, landing: str) -
     return append_snapshot(rows, f"{landing.rstrip('/')}/{feed}", schema)
 
 
-def load_bronze(w: Warehouse, landing: str) -> dict[str, dict[str, int]]:
-    """Load new timetable versions and new realtime files. Returns rows per new timetable version."""
+@contextmanager
+def nothing_landed_is_fine() -> Iterator[None]:
+    """A feed whose folder does not exist yet has no files to load."""
+    try:
+        yield
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+
+
+def load_bronze(
+    w: Warehouse, landing: str, *, max_files: int | None = None
+) -> dict[str, dict[str, int]]:
+    """Load new timetable versions and new realtime files, `max_files` of them per micro-batch. Returns rows
+    per new timetable version."""
     root = landing.rstrip("/")
     loaded = static.load_static(w.spark, f"{root}/gtfs_static", w.bronze)
     for feed, (schema, _, _) in FEEDS.items():
-        ingest_files(
-            w.spark, f"{root}/{feed}", f"{w.bronze}/{feed}", w.checkpoint(feed), schema
-        ).awaitTermination()
+        with nothing_landed_is_fine():
+            ingest_files(
+                w.spark,
+                f"{root}/{feed}",
+                f"{w.bronze}/{feed}",
+                w.checkpoint(feed),
+                schema,
+                max_files=max_files,
+            ).awaitTermination()
     return loaded
 
 
 def update_fact(
-    w: Warehouse, new_trip_versions: list[str] | None = None, *, mode: str = LATEST_WINS
+    w: Warehouse,
+    new_trip_versions: list[str] | None = None,
+    *,
+    mode: str = LATEST_WINS,
+    max_files: int | None = None,
 ) -> None:
     """Upsert what the new bronze files hold, then clear the orphan flags newly loaded trips explain."""
 
@@ -134,15 +160,17 @@ def update_fact(
         snapshot = silver.latest_snapshot(staging.trip_updates(batch))
         return star.fact_trip_stop(silver.match_trips(snapshot, w.static("trips")))
 
-    upsert_files(
-        w.spark,
-        f"{w.bronze}/gtfs_rt_trip_updates",
-        w.fact,
-        w.checkpoint("fact"),
-        schemas.TRIP_UPDATES,
-        to_rows,
-        mode=mode,
-    ).awaitTermination()
+    with nothing_landed_is_fine():
+        upsert_files(
+            w.spark,
+            f"{w.bronze}/gtfs_rt_trip_updates",
+            w.fact,
+            w.checkpoint("fact"),
+            schemas.TRIP_UPDATES,
+            to_rows,
+            mode=mode,
+            max_files=max_files,
+        ).awaitTermination()
     if new_trip_versions:
         trips = static.read_static_table(w.spark, w.bronze, "trips")
         new = trips.filter(F.col("_feed_version").isin(new_trip_versions))
@@ -229,9 +257,7 @@ def report_findings(w: Warehouse) -> dict[str, DataFrame]:
 def train_risk(w: Warehouse, *, trees: int = 200, max_iter: int = 1000) -> risk.Selection:
     """Train, compare and keep the best classifier, and replace the score table with its scores."""
     rows = risk.training_set(w.fact.read(), w.table("dim_route"), w.table("fact_service_alerts"))
-    marked, selection = risk.train_and_select(
-        risk.mark_test_rows(rows), risk.candidates(trees, max_iter)
-    )
+    marked, selection = risk.train_and_select(rows, risk.candidates(trees, max_iter))
     write_table(risk.score(marked, selection), w.gold("mart_trip_delay_risk_score"))
     return selection
 

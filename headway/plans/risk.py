@@ -164,7 +164,9 @@ def fit(train: DataFrame, model: Estimator) -> PipelineModel:
     The saved form leaves the training summary behind, which holds on to the session and cannot be
     sent to tasks.
     """
-    weighted = train.join(class_weights(train).select(LABEL, "class_weight"), LABEL)
+    # Two labels, so two rows; a shuffle on the label would put all rows in two tasks.
+    weights = F.broadcast(class_weights(train).select(LABEL, "class_weight"))
+    weighted = train.join(weights, LABEL)
     path = scratch_dir(train.sparkSession, "risk-model")
     Pipeline(stages=[*feature_stages(), model]).fit(weighted).save(path)
     return PipelineModel.load(path)
@@ -216,19 +218,19 @@ def select_best(auc: dict[str, float]) -> str:
 
 
 def train_and_select(
-    marked: DataFrame, models: dict[str, Estimator]
+    rows: DataFrame, models: dict[str, Estimator]
 ) -> tuple[DataFrame, Selection]:
-    """Fit every candidate on the training rows and compare them on the test rows.
+    """Fit every candidate on the training rows of `rows` and compare them on the test rows.
 
-    The feature rows are written once, since fitting reads them many times; they are returned for
-    scoring.
+    The feature rows are written once, since splitting and fitting read them many times; they are
+    returned, marked, for scoring.
     """
-    rows = materialize(marked, "risk-features")
-    train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
+    marked = mark_test_rows(materialize(rows, "risk-features"))
+    train, test = marked.filter(~F.col("is_test")), marked.filter("is_test")
     fitted = {name: fit(train, model) for name, model in models.items()}
     auc = {name: roc_auc(model.transform(test)) for name, model in fitted.items()}
     best = select_best(auc)
-    return rows, Selection(best, fitted[best], auc)
+    return marked, Selection(best, fitted[best], auc)
 
 
 def score(rows: DataFrame, selection: Selection) -> DataFrame:

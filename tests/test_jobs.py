@@ -98,3 +98,17 @@ def test_pipeline(spark, tmp_path):
     assert rows(spark.sql(worst)) == [("r1",)]
     headsigns = "SELECT trip_headsign FROM int_trip_stop_performance WHERE NOT is_orphan_trip"
     assert rows(spark.sql(headsigns)) == [("Back",), ("City",), ("City",)]
+
+
+def test_feeds_that_never_landed_leave_empty_tables(spark, tmp_path):
+    landing = tmp_path / "landing"
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    land_static(landing, "v1")
+    jobs.run(w, str(landing))
+    assert w.fact.read().isEmpty() and w.table("mart_alert_delay_impact").isEmpty()
+    assert w.table("dim_stop").count() == 2
+    land_poll(
+        spark, tmp_path, landing, "gtfs_rt_trip_updates", "p1", "2024-09-10T20:30:00Z", trip("t1", ("s1", 60))
+    )
+    jobs.run(w, str(landing))
+    assert w.fact.read().count() == 1

@@ -124,7 +124,7 @@ def test_train_select_and_score(spark):
         data,
         "trip_id string, stop_id string, service_date string, route_short_name string, mode string, "
         "hour_of_day int, day_of_week_num int, had_active_alert int, is_late int",
-    ).withColumn("is_test", F.col("service_date") == "20260917")
+    ).withColumn("feed_timestamp", F.lit(at("2026-09-16T08:00:00")))
     models = risk.candidates(trees=5, max_iter=50)
     stored, selection = risk.train_and_select(df, models)
     assert selection.auc["random_forest"] > 0.95 and selection.auc["logistic_regression"] > 0.9
