@@ -120,15 +120,10 @@ def interval_totals(
         F.lit(1).alias("sign"),
     )
     ordered = (F.col(start) < F.col(end)) | ((F.col(start) == F.col(end)) & start_in & end_in)
-    edges = (
-        windows.filter(F.col(key).isNotNull() & ordered)
-        .select(
-            F.col(key).alias("_edge_key"),
-            *[F.col(g).alias(f"_group_{g}") for g in group],
-            F.inline(F.array(opening, closing)).alias("_edge_at", "_edge_side", "_sign"),
-        )
-        .groupBy("_edge_key", "_edge_at", "_edge_side", *[f"_group_{g}" for g in group])
-        .agg(F.sum("_sign").alias("_weight"))
+    edges = windows.filter(F.col(key).isNotNull() & ordered).select(
+        F.col(key).alias("_edge_key"),
+        *[F.col(g).alias(f"_group_{g}") for g in group],
+        F.inline(F.array(opening, closing)).alias("_edge_at", "_edge_side", "_sign"),
     )
     ticks = (
         edges.select(
@@ -161,8 +156,8 @@ def interval_totals(
     return (
         at_edges.groupBy(*[F.col(f"_group_{g}").alias(g) for g in group])
         .agg(
-            F.sum(F.col("_weight") * F.col("_points")).alias("point_count"),
-            *[F.sum(F.col("_weight") * F.col(n)).alias(n) for n in names],
+            F.sum(F.col("_sign") * F.col("_points")).alias("point_count"),
+            *[F.sum(F.col("_sign") * F.col(n)).alias(n) for n in names],
             *whole,
         )
         .filter(F.col("point_count") > 0)
