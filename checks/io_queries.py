@@ -22,7 +22,7 @@ from headway.sinks.upsert import HIGH_WATER_MARK, UpsertTable, refreshed_orphans
 from headway.sources import manifest, realtime, static
 from headway.streaming import ingest
 
-NOW = dt.datetime(2024, 2, 1)
+NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
 
 @query

@@ -170,17 +170,17 @@ def pipeline_health(
 ) -> DataFrame:
     """One row per problem: no data at all, no recent data, or a latest day that mostly fails to match the
     timetable. No rows means healthy."""
-    newest = fact.agg(F.max("_ingested_at").alias("newest"))
-    hours = _minutes_since(F.col("newest"), now) / F.lit(60)
-    empty = newest.filter(F.col("newest").isNull()).select(
-        F.lit("no_data").alias("problem"),
-        F.lit(None).cast("string").alias("service_date"),
-        F.lit(None).cast("double").alias("value"),
-    )
-    stale = newest.filter(hours > max_hours).select(
-        F.lit("stale").alias("problem"),
-        F.lit(None).cast("string").alias("service_date"),
-        hours.alias("value"),
+    newest = F.col("newest")
+    hours = _minutes_since(newest, now) / F.lit(60)
+    no_service_date = F.lit(None).cast("string").alias("service_date")
+    age = (
+        fact.agg(F.max("_ingested_at").alias("newest"))
+        .select(
+            F.when(newest.isNull(), "no_data").when(hours > max_hours, "stale").alias("problem"),
+            no_service_date,
+            hours.alias("value"),
+        )
+        .filter(F.col("problem").isNotNull())
     )
     last_day = fact.agg(F.max("service_date")).scalar()
     latest = (
@@ -192,12 +192,9 @@ def pipeline_health(
         )
     )
     orphans = latest.filter((F.col("n") >= min_rows) & (F.col("orphan_pct") > max_orphan_pct))
-    return (
-        empty.unionByName(stale)
-        .unionByName(
-            orphans.select(
-                F.lit("orphans").alias("problem"), "service_date", F.col("orphan_pct").alias("value")
-            )
+    return age.unionByName(
+        orphans.select(
+            F.lit("orphans").alias("problem"), "service_date", F.col("orphan_pct").alias("value")
         )
     )
 

@@ -66,7 +66,8 @@ class UpsertTable:
         """
         ensure_exists(self.spark, self.path, self.schema, [self.partition])
         self.recover()
-        batch_id = batch_id or uuid.uuid4().hex
+        # A batch delivered again is another attempt with its own entries.
+        attempt = f"{batch_id or 'batch'}:{uuid.uuid4().hex}"
         if mode == HIGH_WATER_MARK:
             newest = self.read().agg(F.max(self.version)).scalar()
             batch = batch.filter(newest.isNull() | (F.col(self.version) > newest))
@@ -83,8 +84,8 @@ class UpsertTable:
         merged = self._newest(sided, F.col("_side").desc()).drop("_side")
         # Few files per partition value; a value with most of the rows is split over several tasks.
         self._write(merged.hint("rebalance", self.partition), self._staging)
-        self._ledger.record("upsert", [batch_id], "staged")
-        self._apply(batch_id)
+        self._ledger.record("upsert", [attempt], "staged")
+        self._apply(attempt)
 
     def recover(self) -> None:
         """Finish a batch that was staged but not applied."""
@@ -92,10 +93,10 @@ class UpsertTable:
         for row in self._ledger.unfinished("upsert", "staged", "applied").limit(1).collect():
             self._apply(row["item"])
 
-    def _apply(self, batch_id: str) -> None:
+    def _apply(self, attempt: str) -> None:
         # Staged files hold one partition value each, so they are copied without another shuffle.
         self._write(self._load(self._staging), self.path, dynamic=True)
-        self._ledger.record("upsert", [batch_id], "applied")
+        self._ledger.record("upsert", [attempt], "applied")
 
     def _load(self, path: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(path).select(*self.schema.names)

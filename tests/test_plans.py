@@ -6,10 +6,20 @@ import pytest
 from conftest import alerts_df, at, routes_df, trips_df, updates_df
 from pyspark.sql import functions as F
 
+from headway.operators.intervals import flag_covered
 from headway.plans import marts, silver, staging, star
 from headway.sinks import tables
 
 
+SMALL_AND_SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -98,14 +108,7 @@ def test_a_hot_trip_is_split_in_both_reconciliation_joins(spark):
         F.lit("08:00:00").alias("departure_time"),
         *lineage,
     )
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    with settings(spark, **conf):
+    with settings(spark, **SMALL_AND_SKEWED):
         matched = silver.match_trips(live, staging.static_table("trips", known))
         scheduled = silver.attach_schedule(matched, staging.static_table("stop_times", known))
         got = scheduled.collect()
@@ -113,3 +116,24 @@ def test_a_hot_trip_is_split_in_both_reconciliation_joins(spark):
         assert sum(not r.is_orphan_trip for r in got) >= 180_000
         assert sum(r.scheduled_arrival_time_of_day is not None for r in got) >= 80_000
         assert plan(scheduled).count("skew=true") >= 2
+
+
+def test_a_hot_route_is_split_in_the_alert_lookup(spark):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("route"),
+        F.timestamp_seconds(F.lit(1726000000) + F.col("id") % 7).alias("at"),
+        F.concat(F.lit("row"), F.col("id")).alias("payload"),
+    )
+    windows = spark.range(2000).select(
+        F.col("id").alias("route"),
+        F.timestamp_seconds(F.lit(1726000003)).alias("a"),
+        F.timestamp_seconds(F.lit(1726000005)).alias("b"),
+    )
+    with settings(spark, **SMALL_AND_SKEWED):
+        flagged = flag_covered(
+            rows, windows, key="route", at="at", start="a", end="b", name="open"
+        )
+        got = flagged.collect()
+        assert len(got) == 200_000
+        assert all(r.open == (3 <= r.at.second - 40 <= 5 and r.route < 2000) for r in got)
+        assert "skew=true" in plan(flagged)

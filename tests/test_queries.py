@@ -29,7 +29,11 @@ def test_oracles_cover_the_queries():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, con, name):
-    assert difference(all_queries()[name](spark, SMALL), con, ORACLES[name]) == ""
+    df = all_queries()[name](spark, SMALL)
+    assert difference(df, con, ORACLES[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "Cartesian", "NestedLoop"):
+        assert node not in plan
 
 
 @pytest.mark.parametrize("name", sorted(WITHOUT_ORACLE))

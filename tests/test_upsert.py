@@ -101,7 +101,7 @@ def test_many_touched_partitions_use_a_semi_join(spark, table, monkeypatch):
 def test_a_run_that_died_while_copying_is_finished_by_the_next(spark, table, monkeypatch, copied):
     table.upsert(fact(spark, *BATCHES[0]))
 
-    def die(self, batch_id):
+    def die(self, attempt):
         if copied:
             self._write(self._load(self._staging), self.path, dynamic=True)
         raise RuntimeError("executor lost")
