@@ -297,6 +297,24 @@ def full_refresh_table(t: Transit) -> DataFrame:
     return _fact_output(fact.select(*schemas.FACT_TRIP_STOP.names))
 
 
+def _stored_totals(t: Transit, keys: list[str]) -> DataFrame:
+    path = f"{scratch_dir(t.spark, 'gold')}/totals"
+    totals = marts.totals(t.fact, *keys)
+    tables.replace_partitions(totals, path, "service_date")
+    return t.spark.read.schema(totals.schema).parquet(path)
+
+
+@query
+def route_day_from_totals(t: Transit) -> DataFrame:
+    return marts.route_daily_performance(_stored_totals(t, marts.DAY_TOTALS), t.dim_route)
+
+
+@query
+def alert_impact_from_totals(t: Transit) -> DataFrame:
+    instants = _stored_totals(t, marts.INSTANT_TOTALS)
+    return marts.alert_delay_impact(instants, t.dim_route, t.fact_alerts)
+
+
 # Data rules.
 
 

@@ -506,4 +506,6 @@ ORACLES |= {
     "sql_over_views": BASE
     + """SELECT route_short_name, 100 * avg(CASE WHEN is_late = false THEN 1 ELSE 0 END) AS pct,
          count(*) AS n FROM scored WHERE mode = 'train' GROUP BY 1 HAVING count(*) >= 50""",
+    "route_day_from_totals": BASE + "SELECT * FROM route_day",
+    "alert_impact_from_totals": BASE + "SELECT * FROM impact",
 }

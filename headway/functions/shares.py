@@ -23,6 +23,8 @@ def punctuality_partials(delay: str = "arrival_delay_seconds") -> list[Column]:
         count_true(F.col("is_cancelled")).alias("cancelled_count"),
         F.sum(seconds).alias("delay_sum"),
         F.count(seconds).alias("delay_count"),
+        # An early or unknown arrival adds nothing.
+        F.sum(F.greatest(seconds, F.lit(0).cast("bigint"))).alias("late_seconds"),
     ]
 
 
@@ -34,6 +36,7 @@ def combine_partials() -> list[Column]:
         "cancelled_count",
         "delay_sum",
         "delay_count",
+        "late_seconds",
     )
     return [F.sum(n).alias(n) for n in names]
 

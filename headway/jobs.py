@@ -13,6 +13,7 @@ A step that fails raises, so nothing after it runs; every step can be run again.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -20,13 +21,15 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway import schemas
 from headway.operators import quality
 from headway.operators.flatten import flatten_alerts, flatten_trip_updates
 from headway.plans import findings, marts, risk, rules, silver, staging, star
 from headway.session import build_session
-from headway.sinks.tables import append_snapshot, export_csv, write_table
+from headway.sinks.ledger import Ledger, ensure_exists
+from headway.sinks.tables import append_snapshot, export_csv, replace_partitions, write_table
 from headway.sinks.upsert import LATEST_WINS, UpsertTable, refreshed_orphans
 from headway.sources import realtime, static
 from headway.streaming.ingest import ingest_files, upsert_files
@@ -37,6 +40,8 @@ FEEDS = {
 }
 
 
+TOTALS = {"day_totals": marts.DAY_TOTALS, "instant_totals": marts.INSTANT_TOTALS}
+CLOCK_MARGIN = dt.timedelta(hours=1)
 DIMENSIONS = ("dim_date", "dim_route", "dim_stop", "dim_trip", "fact_service_alerts")
 MARTS = (
     "mart_route_daily_performance",
@@ -84,6 +89,13 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.gold(name))
 
+    def totals_schema(self, name: str) -> T.StructType:
+        empty = self.spark.createDataFrame([], schemas.FACT_TRIP_STOP)
+        return marts.totals(empty, *TOTALS[name]).schema
+
+    def totals(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.totals_schema(name)).parquet(self.gold(name))
+
     def silver(self) -> DataFrame:
         return silver.trip_stop_performance(
             self.updates(), self.static("trips"), self.static("stop_times")
@@ -177,9 +189,31 @@ def update_fact(
         w.fact.upsert(refreshed_orphans(w.fact.read(), new))
 
 
+def refresh_totals(w: Warehouse) -> None:
+    """Bring the stored totals of the fact up to date, for the service dates changed since the last time.
+
+    The moment recorded is that of the start, less a margin for clocks that differ: a date may be
+    done twice, never missed.
+    """
+    ledger = Ledger(w.spark, w.gold("_totals_log"))
+    began = dt.datetime.now(dt.timezone.utc) - CLOCK_MARGIN
+    last = ledger.items("totals", "done").agg(F.max("item")).first()[0]
+    since = None if last is None else dt.datetime.fromisoformat(last)
+    changed = w.fact.partitions_of(w.fact.changed_since(since))
+    for name, keys in TOTALS.items():
+        ensure_exists(w.spark, w.gold(name), w.totals_schema(name), ["service_date"])
+        replace_partitions(marts.totals(changed, *keys), w.gold(name), "service_date")
+    ledger.record("totals", [began.isoformat()], "done")
+
+
 def build_gold(w: Warehouse) -> dict[str, int]:
-    """Full refresh of dimensions, alert fact and marts. Returns the rows written per table."""
-    fact = w.fact.read()
+    """Full refresh of dimensions, alert fact and marts. Returns the rows written per table.
+
+    Marts over all history are built from the stored totals, so a run reads the fact rows of changed
+    service dates only.
+    """
+    ensure_exists(w.spark, w.fact.path, w.fact.schema, [w.fact.partition])
+    refresh_totals(w)
     counts = {
         name: write_table(df, w.gold(name))
         for name, df in {
@@ -191,11 +225,12 @@ def build_gold(w: Warehouse) -> dict[str, int]:
         }.items()
     }
     routes, stops, alerts = (w.table(n) for n in ("dim_route", "dim_stop", "fact_service_alerts"))
+    days, instants = w.totals("day_totals"), w.totals("instant_totals")
     products = {
-        "mart_route_daily_performance": marts.route_daily_performance(fact, routes),
-        "mart_stop_daily_performance": marts.stop_daily_performance(fact, stops),
-        "mart_line_delay_concentration": marts.line_delay_concentration(fact, routes),
-        "mart_alert_delay_impact": marts.alert_delay_impact(fact, routes, alerts),
+        "mart_route_daily_performance": marts.route_daily_performance(days, routes),
+        "mart_stop_daily_performance": marts.stop_daily_performance(days, stops),
+        "mart_line_delay_concentration": marts.line_delay_concentration(days, routes),
+        "mart_alert_delay_impact": marts.alert_delay_impact(instants, routes, alerts),
     }
     return counts | {name: write_table(df, w.gold(name)) for name, df in products.items()}
 

@@ -81,10 +81,12 @@ def interval_totals(
     end: str,
     group: Sequence[str],
     measures: Mapping[str, Column],
+    weight: Column | None = None,
     bounds: tuple[bool | Column, bool | Column] = (True, True),
     bucket_seconds: int = HOUR,
 ) -> DataFrame:
-    """Per `group` of windows, the sum of each whole-number measure over the points inside them.
+    """Per `group` of windows, the number of points inside them and the sum of each whole-number measure.
+    A row of `points` stands for `weight` points, one if not given.
 
     A point inside several windows of a group counts once for each. `bounds` says whether the start
     and the end belong to the window. Groups whose windows hold no point are left out. If `key` is in
@@ -97,7 +99,10 @@ def interval_totals(
     instants = (
         points.filter(F.col(key).isNotNull())
         .groupBy(key, F.col(at).alias("_at"))
-        .agg(F.count(F.lit(1)).alias("_points"), *[F.sum(m).alias(n) for n, m in measures.items()])
+        .agg(
+            F.sum(F.lit(1).cast("bigint") if weight is None else weight).alias("_points"),
+            *[F.sum(m).alias(n) for n, m in measures.items()],
+        )
     )
     # A point without a time sorts before every edge: it adds the same to both ends of each window.
     instants = instants.select(

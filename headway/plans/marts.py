@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.columns import ratio, whole_seconds
+from headway.functions.columns import ratio
 from headway.functions.shares import (
     combine_partials,
-    delay_measures,
     mean_delay,
     pct_on_time,
     punctuality_partials,
@@ -18,26 +17,35 @@ from headway.operators.ranking import cumulative_share
 
 _DELAY = "arrival_delay_seconds"
 
+# Groupings under which the fact may be kept as totals, per service date. Every mart takes either the fact
+# or the totals of its grouping, so that a full-history mart need not read the whole fact again.
+DAY_TOTALS = ["service_date", "date_key", "route_key", "stop_key", "is_orphan_trip"]
+INSTANT_TOTALS = ["service_date", "route_key", "feed_timestamp", "is_orphan_trip"]
 
-def _matched(fact: DataFrame) -> DataFrame:
-    return fact.filter(~F.col("is_orphan_trip"))
 
+def totals(source: DataFrame, *keys: str) -> DataFrame:
+    """Punctuality sums per key, of the fact or of stored totals of a finer grouping."""
+    stored = "trip_stop_count" in source.columns
+    sums = combine_partials() if stored else punctuality_partials()
+    return source.groupBy(*keys).agg(*sums)
 
-def _daily_performance(fact: DataFrame, key: str, dim: DataFrame, attributes: list[str]) -> DataFrame:
-    per_key = _matched(fact).groupBy("date_key", key).agg(*punctuality_partials())
+
+def _matched(source: DataFrame) -> DataFrame:
+    return source.filter(~F.col("is_orphan_trip"))
+
+
+def _daily_performance(
+    source: DataFrame, key: str, dim: DataFrame, attributes: list[str]
+) -> DataFrame:
+    per_key = totals(_matched(source), "date_key", key)
     grain = ["date_key", *attributes]
-    return (
-        per_key.join(dim.select(key, *attributes), key)
-        .groupBy(*grain)
-        .agg(*combine_partials())
-        .select(
-            *grain,
-            "trip_stop_count",
-            "late_count",
-            "cancelled_count",
-            F.round(pct_on_time(), 1).alias("pct_on_time"),
-            F.round(mean_delay(), 1).alias("avg_arrival_delay_seconds"),
-        )
+    return totals(per_key.join(dim.select(key, *attributes), key), *grain).select(
+        *grain,
+        "trip_stop_count",
+        "late_count",
+        "cancelled_count",
+        F.round(pct_on_time(), 1).alias("pct_on_time"),
+        F.round(mean_delay(), 1).alias("avg_arrival_delay_seconds"),
     )
 
 
@@ -53,25 +61,21 @@ def stop_daily_performance(fact: DataFrame, dim_stop: DataFrame) -> DataFrame:
 
 
 def line_delay_concentration(fact: DataFrame, dim_route: DataFrame) -> DataFrame:
-    """Total positive delay per line, its share of the network and the running share, worst line first."""
-    positive = F.greatest(whole_seconds(F.col(_DELAY)), F.lit(0).cast("bigint"))
-    per_route = (
-        _matched(fact)
-        .groupBy("route_key")
-        .agg(F.sum(positive).alias("seconds"), F.count(F.lit(1)).alias("rows"))
-    )
+    """Total positive delay per line, its share of the network and the running share."""
+    per_route = totals(_matched(fact), "route_key")
     revenue = dim_route.filter(F.col("route_short_name").isNotNull())
-    lines = (
-        per_route.join(revenue.select("route_key", "route_short_name", "mode"), "route_key")
-        .groupBy("route_short_name", "mode")
-        .agg(F.sum("seconds").alias("seconds"), F.sum("rows").alias("trip_stop_count"))
+    named = per_route.join(revenue.select("route_key", "route_short_name", "mode"), "route_key")
+    lines = totals(named, "route_short_name", "mode").select(
+        "route_short_name", "mode", "late_seconds", "trip_stop_count"
     )
-    shares = cumulative_share(lines, "seconds", ["route_short_name", "mode"], "share", "running")
+    tie_break = ["route_short_name", "mode"]
+    shares = cumulative_share(lines, "late_seconds", tie_break, "share", "running")
+    seconds = F.col("late_seconds").cast("double")
     return shares.select(
         "route_short_name",
         "mode",
-        F.col("seconds").cast("double").alias("total_delay_seconds"),
-        F.round(F.col("seconds").cast("double") / 60.0, 1).alias("total_delay_minutes"),
+        seconds.alias("total_delay_seconds"),
+        F.round(seconds / 60.0, 1).alias("total_delay_minutes"),
         "trip_stop_count",
         F.round("share", 1).alias("pct_of_network_delay"),
         F.round("running", 1).alias("cumulative_pct_of_network_delay"),
@@ -102,13 +106,15 @@ _ALERT = ["route_id", "header_text", "cause", "effect"]
 def _delay_in_windows(
     fact: DataFrame, windows: DataFrame, group: list[str], **window_columns
 ) -> DataFrame:
+    instants = totals(_matched(fact), "route_key", "feed_timestamp")
     return interval_totals(
-        _matched(fact),
+        instants,
         windows,
         key="route_key",
         at="feed_timestamp",
         group=["route_key", *group],
-        measures=delay_measures(_DELAY),
+        weight=F.col("trip_stop_count"),
+        measures={"delay_count": F.col("delay_count"), "delay_sum": F.col("delay_sum")},
         **window_columns,
     )
 

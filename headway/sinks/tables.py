@@ -22,6 +22,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions `df` has rows in and leave the others."""
+    (
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def append_snapshot(rows: DataFrame, path: str, schema: T.StructType) -> int:
     """Append flattened feed rows under dt=<ingest day>, in the declared column types."""
     dated = conform(rows.withColumn("dt", F.to_date("_ingested_at")), schema)

@@ -7,6 +7,7 @@ once. A run that dies while copying is finished from the staging folder by the n
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -116,16 +117,26 @@ class UpsertTable:
 
     def _touched(self, incoming: DataFrame) -> DataFrame:
         """Existing rows of the partitions the batch has rows in."""
-        values = incoming.select(self.partition).distinct()
+        return self.partitions_of(incoming.select(self.partition).distinct())
+
+    def partitions_of(self, values: DataFrame) -> DataFrame:
+        """The table's rows in the partitions listed by the one-column frame `values`."""
         listed = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
         existing = self.read()
         column = F.col(self.partition)
         if len(listed) > MAX_LISTED_PARTITIONS:
-            wanted = values.select(column.alias("_value"))
+            wanted = values.select(F.col(self.partition).alias("_value"))
             return existing.join(wanted, column.eqNullSafe(F.col("_value")), "left_semi")
         found = column.isin([v for v in listed if v is not None])
         return existing.filter(found | column.isNull() if None in listed else found)
 
+    def changed_since(self, moment: dt.datetime | None) -> DataFrame:
+        """The partition values with a file written after `moment`, or all. Looks at files, not at rows."""
+        files = self.spark.read.schema(self.schema).parquet(self.path)
+        if moment is not None:
+            files = files.filter(F.col("_metadata.file_modification_time") > F.lit(moment))
+        return files.select(self.partition).distinct()
+
 
 def refreshed_orphans(fact: DataFrame, new_trips: DataFrame) -> DataFrame:
     """Fact rows flagged as orphans whose trip a later timetable has brought, with the flag cleared.

@@ -1,11 +1,13 @@
 """The whole pipeline over small landed files, run again as more arrive."""
 
+import datetime as dt
 import json
 
 import pytest
 from conftest import at, rows
 
 from headway import jobs
+from headway.plans import marts
 
 STATIC = {
     "routes": "route_id,route_short_name,route_long_name,route_type,agency_id\nr1,T1,One,2,op\nrx,,Depot,2,op\n",
@@ -112,3 +114,36 @@ def test_feeds_that_never_landed_leave_empty_tables(spark, tmp_path):
     )
     jobs.run(w, str(landing))
     assert w.fact.read().count() == 1
+
+
+def test_totals_are_refreshed_for_changed_days_only(spark, tmp_path, monkeypatch):
+    """And the marts built from them equal the marts built from the fact."""
+    landing = tmp_path / "landing"
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    monkeypatch.setattr(jobs, "CLOCK_MARGIN", dt.timedelta(0))
+    land_static(landing, "v1")
+    updates = "gtfs_rt_trip_updates"
+    for day, delay in (("10", 60), ("11", 400)):
+        entity = trip("t1", ("s1", delay), ("s2", 5))
+        entity["trip_update"]["trip"]["start_date"] = f"202409{day}"
+        land_poll(spark, tmp_path, landing, updates, f"p{day}", f"2024-09-{day}T20:30:00Z", entity)
+    jobs.run(w, str(landing))
+    files = lambda day: {
+        p.name for p in (tmp_path / f"warehouse/gold/day_totals/service_date=202409{day}").glob("*.parquet")
+    }
+    before = files("10"), files("11")
+    late = trip("t1", ("s1", 500), ("s3", 7))
+    late["trip_update"]["trip"]["start_date"] = "20240911"
+    land_poll(spark, tmp_path, landing, updates, "p3", "2024-09-11T21:30:00Z", late)
+    jobs.run(w, str(landing))
+    assert files("10") == before[0] and files("11") != before[1]
+
+    fact, routes, stops = w.fact.read(), w.table("dim_route"), w.table("dim_stop")
+    direct = {
+        "mart_route_daily_performance": marts.route_daily_performance(fact, routes),
+        "mart_stop_daily_performance": marts.stop_daily_performance(fact, stops),
+        "mart_line_delay_concentration": marts.line_delay_concentration(fact, routes),
+    }
+    for name, expected in direct.items():
+        assert rows(w.table(name)) == rows(expected)
+    assert rows(w.table("mart_route_daily_performance"))[1][4:] == (3, 1, 0, 66.7, 170.7)

@@ -174,3 +174,10 @@ def test_products_on_random_data(spark, seed):
     )
     assert rows(features) == sql(con, FEATURES)
     assert rows(findings.coverage_by_day(fact)) == sql(con, COVERAGE)
+
+    # The same from totals of the fact.
+    days, instants = (
+        marts.totals(fact, *keys) for keys in (marts.DAY_TOTALS, marts.INSTANT_TOTALS)
+    )
+    assert rows(marts.route_daily_performance(days, routes)) == sql(con, ROUTE_DAY)
+    assert rows(marts.alert_delay_impact(instants, routes, fact_alerts)) == sql(con, IMPACT)
