@@ -32,4 +32,19 @@ SELECT doc_id, len(sets.s) AS n_shingles, coalesce(root, doc_id) AS component_id
 FROM sets LEFT JOIN named ON list_sort(sets.s) = named.o
 """
 
-ORACLES = {"op10_minhash_near_dedup": NEAR_DUP}
+TOP_K = """
+WITH scaled AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM scaled q JOIN scaled c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+ORACLES = {"op8_exact_top_k": TOP_K, "op10_minhash_near_dedup": NEAR_DUP}

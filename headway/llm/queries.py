@@ -4,15 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from headway.llm.bpe import encode_documents
 from headway.llm.common import table
+from headway.llm.graph_search import nearest
+from headway.llm.kd_search import exact_top_k
+from headway.llm.language import identify_languages
 from headway.llm.near_dup import near_duplicates
+from headway.llm.token_files import token_files
+
+#: The public vocabulary that the token queries use.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return encode_documents(docs, TOKENIZER, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def op5_nearest_by_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+QUERIES = (
+    op3_language_id,
+    op4_bpe_round_trip,
+    op5_nearest_by_graph,
+    op7_token_files,
+    op8_exact_top_k,
+    op10_minhash_near_dedup,
+)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in (op10_minhash_near_dedup,)}
+    return {fn.__name__: fn for fn in QUERIES}
