@@ -6,9 +6,11 @@ values go into inverted lists: two sets as similar as asked share at least `floo
 the rarest `k - floor + 1` (the prefix filter). Values that boilerplate carries into many sketches come last in that
 order and rarely get into a list.
 
-Lists don't emit all their pairs. In each round every list member is compared with one leader of its list; what the
-links found so far connect needs no further comparison. At the end the pairs that are left, those of classes in one
-list but in different components, are compared as well, so components come out as from all pairs.
+Short lists emit their pairs. A long list doesn't: its members are compared with one pivot, the member with the most
+common values. Two members of the list then either share a value that the pivot hasn't, and meet in a list of their
+values beside the pivot's, which are rare; or all that they share is the pivot's too, so that each shares as much
+with the pivot, and they meet by size, if neither is linked with the pivot anyway. Lists that are still long get
+another pivot. After the last pivot all pairs are emitted that links found so far don't connect, so no link is lost.
 A pair is dropped if the sketch of the union has fewer than `floor` values in common, else its full sets decide.
 """
 
@@ -26,8 +28,9 @@ from headway.llm.components import contract, stars
 SKETCH = 64
 #: Chance that a linked pair of large sets shares fewer sketch values than the floor asks for.
 MISS = 1e-9
-#: Rounds of comparisons with one leader a list, before the remaining pairs.
-LEADER_ROUNDS = 2
+#: Longer lists are taken apart by pivots, so often.
+SHORT_LIST = 16
+PIVOTS = 2
 
 
 def overlap_floor(k: int, percent: int, miss: float = MISS) -> int:
@@ -65,17 +68,23 @@ def _keyed(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _lists(classes: DataFrame, k: int, percent: int, floor: int) -> DataFrame:
-    """Inverted lists (v, cid, n) over the rarest values of every sketch."""
-    values = classes.select("cid", "n", F.explode("sketch").alias("v"))
-    common = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    shared = values.join(common, "v")
+def _rarest(values: DataFrame, held: Column, need: Column) -> DataFrame:
+    """Of rows (ctx, v, cid, ...), those of values that meet another class in their context and are among a class'
+    `held - need + 1` rarest; w is how common the class' values are together."""
+    common = values.groupBy("ctx", "v").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("ctx", "cid")
+    shared = values.join(common, ["ctx", "v"]).withColumn("alone", held - F.count("*").over(own))
+    shared = shared.withColumn("w", F.sum("df").over(own))
+    turn = F.row_number().over(own.orderBy("df", "v")) + F.col("alone")
+    return shared.withColumn("turn", turn).where(F.col("turn") <= held - need + 1).select("ctx", "v", "cid", "n", "w")
+
+
+def _first_lists(classes: DataFrame, k: int, percent: int, floor: int) -> DataFrame:
+    """Inverted lists (ctx, v, cid, n, w) over the rarest values of every sketch, in one context."""
+    values = classes.select(F.lit(0).cast("long").alias("ctx"), "cid", "n", F.explode("sketch").alias("v"))
     need = F.ceil(F.col("n") * percent / 100)
     need = F.when(F.col("n") * 100 <= k * percent, need).otherwise(F.least(need, F.lit(floor)))
-    held = F.least(F.col("n"), F.lit(k))
-    alone = held - F.count("*").over(Window.partitionBy("cid"))
-    rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "v"))
-    return shared.withColumn("turn", alone + rank).where(F.col("turn") <= held - need + 1).select("v", "cid", "n")
+    return _rarest(values, F.least(F.col("n"), F.lit(k)), need)
 
 
 def _similar_sizes(x: str, y: str, percent: int) -> Column:
@@ -86,23 +95,67 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _leader_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Every member of a list with the list's first member in an order that all lists share."""
-    order = F.xxhash64(F.lit(seed), "cid")
-    leaders = lists.groupBy("v").agg(F.min_by(F.struct("cid", "n", "label"), order).alias("lead"))
-    pairs = lists.join(leaders, "v").where(F.col("label") != F.col("lead.label"))
-    return pairs.where(_similar_sizes("n", "lead.n", percent)).select(*_pair("cid", "lead.cid")).distinct()
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """`rows` with the component of cid, as far as it is known."""
+    out = rows.join(labels.select("cid", F.col("root").alias("label")), "cid", "left")
+    return out.withColumn("label", F.coalesce("label", "cid"))
+
+
+def _by_length(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ctx, v, lead) of the short and the long lists; lead is the member with the most common values."""
+    lead = F.max_by("cid", F.struct("w", "cid")).alias("lead")
+    found = lists.groupBy("ctx", "v").agg(F.count("*").alias("size"), lead)
+    found = checkpointed(found.where("size > 1"))
+    return found.where(F.col("size") <= SHORT_LIST), found.where(F.col("size") > SHORT_LIST)
+
+
+def _cross_pairs(some: DataFrame, all_: DataFrame, keys: list[str], condition: Column) -> DataFrame:
+    """Distinct pairs of a row in `some` and one in `all_` with equal keys, other labels and the condition on xn, n."""
+    left = some.select(*keys, F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"), *_extra(some))
+    return left.join(all_, keys).where((F.col("xl") != F.col("label")) & condition).select(*_pair("x", "cid")).distinct()
+
+
+def _extra(rows: DataFrame) -> list[Column]:
+    return [F.col("held").alias("xheld")] if "held" in rows.columns else []
+
+
+def _beside_main(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose label isn't the most frequent one of their keys."""
+    parts = rows.groupBy(*keys, "label").agg(F.count("*").alias("rows"))
+    main = parts.groupBy(*keys).agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("parts"))
+    return rows.join(main.where("parts > 1"), keys).where("label <> main").drop("main", "parts")
+
+
+def _members(lists: DataFrame, long: DataFrame, before: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """(ctx, cid, n, w, lead, rest, held): the members of long lists in the context of their pivot, with what neither
+    this nor an earlier pivot of theirs holds, and how many of their values pivots hold."""
+    hung = lists.join(long.select("ctx", "v", "lead"), ["ctx", "v"]).select("ctx", "cid", "n", "w", "lead").distinct()
+    rest = sets.select("cid", F.col("set").alias("rest")) if before is None else before.select("ctx", "cid", "rest")
+    hung = hung.join(rest, ["cid"] if before is None else ["ctx", "cid"])
+    pivots = sets.select(F.col("cid").alias("lead"), F.col("set").alias("taken"))
+    out = hung.join(pivots, "lead").withColumn("rest", F.array_except("rest", "taken"))
+    out = out.select(F.xxhash64("ctx", "lead").alias("ctx"), "cid", "n", "w", "lead", "rest")
+    return materialize(out.withColumn("held", F.col("n") - F.size("rest")), "members")
+
+
+def _rest_lists(members: DataFrame, percent: int) -> DataFrame:
+    """Lists of the values beside the pivots'. Where pivots hold too little of a class for a link, the rest must have
+    what is missing, so its rarest values suffice."""
+    values = members.select("ctx", "cid", "n", "held", F.explode("rest").alias("v"))
+    missing = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("held"), F.lit(1))
+    return _rarest(values, F.col("n") - F.col("held"), missing)
 
 
-def _remaining_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list whose members are in different components. One side is always outside the list's largest
-    component, so a list of one large component and a few others has few pairs."""
-    parts = lists.groupBy("v", "label").agg(F.count("*").alias("rows"))
-    mixed = parts.groupBy("v").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("k"))
-    outside = lists.join(mixed.where("k > 1").select("v", "main"), "v").where("label <> main")
-    outside = outside.select("v", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-    pairs = outside.join(lists, "v").where(F.col("xl") != F.col("label"))
-    return pairs.where(_similar_sizes("xn", "n", percent)).select(*_pair("x", "cid")).distinct()
+def _within_pivots(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs that can be linked by their pivots' values alone: each has as many of these as the pair must share."""
+    covered = members.where(F.col("held") * 100 >= F.col("n") * percent).select("ctx", "cid", "n", "held")
+    covered = _labelled(covered, labels)
+    # sizes that can be linked are in neighbouring bands
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    banded = covered.withColumn("band", band)
+    beside = _beside_main(covered, ["ctx"]).withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+    enough = F.least("xheld", "held") * (100 + percent) >= (F.col("xn") + F.col("n")) * percent
+    return _cross_pairs(beside, banded, ["ctx", "band"], enough & _similar_sizes("xn", "n", percent))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, floor: int) -> DataFrame:
@@ -125,12 +178,7 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percen
 
 
 def near_duplicates(
-    docs: DataFrame,
-    words: int = 5,
-    percent: int = 80,
-    k: int = SKETCH,
-    miss: float = MISS,
-    leader_rounds: int = LEADER_ROUNDS,
+    docs: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH, miss: float = MISS, pivots: int = PIVOTS
 ) -> DataFrame:
     """Groups of documents with 100 * intersection >= percent * union of their distinct word shingles.
 
@@ -144,7 +192,7 @@ def near_duplicates(
     marks = materialize(keyed.select("id", "n", "p", "q", F.slice("set", 1, k).alias("sketch")), "sketches")
     grouped = marks.where("n > 0").groupBy("n", "p", "q").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    lists = materialize(_lists(classes, k, percent, floor), "lists")
+    lists = materialize(_first_lists(classes, k, percent, floor), "lists")
 
     met = classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("id", "n", "p", "q", "cid")
     met = checkpointed(met)
@@ -152,28 +200,38 @@ def near_duplicates(
     texts = docs.select("doc_id", "text").join(if_small(ids, met.count()), F.expr("doc_id <=> wanted"), "left_semi")
     sets = _keyed(texts, words).select("n", "p", "q", "set").join(met.select("n", "p", "q", "cid"), ["n", "p", "q"])
     sets = materialize(sets.groupBy("cid").agg(F.first("set").alias("set")), "sets")
-    small = checkpointed(classes.join(met.select("cid"), "cid", "left_semi").select("cid", "sketch"))
-
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    labelled = lists.withColumn("label", F.col("cid"))
-    for turn in range(leader_rounds + 1):
-        last = turn == leader_rounds
-        pairs = _remaining_pairs(labelled, percent) if last else _leader_pairs(labelled, turn, percent)
-        found = _links(pairs, small, sets, k, percent, floor)
+    sketches = checkpointed(classes.join(met.select("cid"), "cid", "left_semi").select("cid", "sketch"))
+
+    links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    labels = links.select(F.col("a").alias("cid"), F.col("b").alias("root"))
+    members = None
+    for left in range(pivots, -1, -1):
+        short, long = _by_length(lists)
+        rows = _labelled(lists, labels)
+        alike = _similar_sizes("xn", "n", percent)
+        few = rows.join(short.select("ctx", "v"), ["ctx", "v"])
+        pairs = _cross_pairs(few, few.select(*few.columns), ["ctx", "v"], (F.col("x") < F.col("cid")) & alike)
+        if members is not None:
+            pairs = pairs.union(_within_pivots(members, labels, percent))
+        many = rows.join(long.select("ctx", "v"), ["ctx", "v"])
+        if left:
+            members = _members(lists, long, members, sets)
+            pairs = pairs.union(members.where("cid <> lead").select(*_pair("cid", "lead")))
+            lists = materialize(_rest_lists(members, percent), "lists")
+        else:
+            pairs = pairs.union(_cross_pairs(_beside_main(many, ["ctx", "v"]), many, ["ctx", "v"], alike))
+        found = _links(pairs.distinct(), sketches, sets, k, percent, floor)
         links = checkpointed(links.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        if not last:
+        if left:
             links = contract(links)
-            hung = links.groupBy("a").agg(F.min("b").alias("b"))
-            labelled = lists.join(hung.select(F.col("a").alias("cid"), "b"), "cid", "left")
-            labelled = labelled.select("v", "cid", "n", F.coalesce("b", "cid").alias("label"))
+            labels = links.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("root"))
 
     roots = stars(links).select(F.col("a").alias("cid"), F.col("b").alias("root"))
     rooted = classes.select("cid", "id", "n", "p", "q").join(roots, "cid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "cid"))
     named = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    members = rooted.join(named, "root").select("n", "p", "q", "component_id")
-    out = marks.select("id", "n", "p", "q").join(members, ["n", "p", "q"], "left")
+    out_keys = rooted.join(named, "root").select("n", "p", "q", "component_id")
+    out = marks.select("id", "n", "p", "q").join(out_keys, ["n", "p", "q"], "left")
     return out.select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
