@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Runs and words remembered by a Python worker; when full, the memory starts over.
-MEMORY = 250_000
+#: Runs and words remembered by a Python worker, some 150 bytes each; when full, the memory starts over.
+MEMORY = 600_000
 #: Longer words are encoded each time they come.
 LONGEST_REMEMBERED = 64
 #: Rows handled at once.

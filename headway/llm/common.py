@@ -20,11 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` cut off from its lineage, in the folder of spark.checkpoint.dir; for small tables of iterations."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+    """A step of an iteration, cut off from its lineage as a written table. Unlike after checkpoint(), its size is then
+    the measured one; estimates carried from step to step multiply with each join."""
+    return materialize(df, "step")
 
 
 def if_small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:

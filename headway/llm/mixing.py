@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import checkpointed, if_small
 
 #: The largest relative change of a cell in a sweep at which fitting has converged, and the most sweeps.
-TOLERANCE = 1e-11
+TOLERANCE = 1e-6
 SWEEPS = 60
 #: Exponents that temper a column's own token shares to targets: 0 makes values equal, 1 leaves them.
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}

@@ -47,4 +47,83 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 10
 """
 
-ORACLES = {"op8_exact_top_k": TOP_K, "op10_minhash_near_dedup": NEAR_DUP}
+
+def _mixing(sweeps: int = 8) -> str:  # so many it takes at sf0.01
+    columns = {"source": 0.7, "lang": 0.7, "topic": 0.9}
+    steps = [
+        rf"""rows_ AS MATERIALIZED (
+    SELECT doc_id, source, lang, CASE WHEN regexp_matches(t, '^[ \t\r\n]*$') THEN 'empty'
+        WHEN regexp_matches(t, '[Ll]icen[cs]e') THEN 'licence'
+        WHEN regexp_matches(t, '(token|password|secret|key) *[=:]') THEN 'credentials'
+        WHEN regexp_matches(t, '!!') THEN 'shouting' WHEN regexp_matches(t, ' \| ') THEN 'table'
+        WHEN regexp_matches(t, '###|%%%|&&&') THEN 'junk' ELSE 'prose' END AS topic,
+        len(regexp_extract_all(t, '[^ \t\r\n]+')) AS n_tokens
+    FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+), c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS f FROM rows_ GROUP BY ALL)"""
+    ]
+    for name, exponent in columns.items():
+        steps.append(
+            f"""t_{name} AS MATERIALIZED (SELECT {name} AS v, pow(sum(tokens), {exponent}) / sum(pow(sum(tokens), {exponent})) OVER ()
+    AS share FROM c0 GROUP BY {name} HAVING sum(tokens) > 0)"""
+        )
+    last = "c0"
+    for sweep in range(sweeps):
+        for name in columns:
+            new = f"c{sweep}_{name}"
+            steps.append(
+                f"""{new} AS MATERIALIZED (SELECT source, lang, topic, tokens,
+    f * coalesce((SELECT share FROM t_{name} WHERE v IS NOT DISTINCT FROM {name})
+        / nullif(sum(tokens * f) OVER (PARTITION BY {name}), 0), 0) AS f FROM {last})"""
+            )
+            last = new
+    return f"""WITH {", ".join(steps)},
+scaled AS (SELECT *, round(least(1.0, f * (1 / (SELECT max(f) FROM {last} WHERE tokens > 0))), 9) AS p FROM {last})
+SELECT doc_id, r.source, r.lang, r.topic, n_tokens::BIGINT AS n_tokens, p AS probability,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < p AS sampled
+FROM rows_ r JOIN scaled s ON r.source IS NOT DISTINCT FROM s.source AND r.lang IS NOT DISTINCT FROM s.lang
+    AND r.topic IS NOT DISTINCT FROM s.topic"""
+
+
+def _part(at: int) -> str:
+    return f"('0x' || substr(md5(name), {at}, 6))::BIGINT"
+
+
+URL_LISTS = rf"""
+WITH captures AS (
+    SELECT page_id, url, DATE '2024-01-01' + (page_id % 730)::INTEGER AS day,
+        lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*?)\.*(?::[0-9]*)?(?:[/?#]|$)', 1)) AS host
+    FROM pages
+), names AS (
+    SELECT host AS name FROM captures WHERE host <> ''
+    UNION SELECT regexp_replace(host, '^[^.]+\.', '') FROM captures WHERE host <> ''
+), chosen AS (
+    SELECT name, ['adult', 'malware', 'spam', 'trusted'][1 + {_part(19)} % 4] AS list,
+        DATE '2024-01-01' + ({_part(1)} % 730)::INTEGER AS add_day,
+        (1 + {_part(7)} % 200)::INTEGER AS stay, {_part(7)} % 3 > 0 AS leaves,
+        (1 + {_part(13)} % 100)::INTEGER AS pause, {_part(13)} % 2 = 0 AS returns
+    FROM names WHERE {_part(25)} % 3 = 0
+), valid AS (
+    SELECT name, list, add_day AS since, CASE WHEN leaves THEN add_day + stay ELSE DATE '9999-01-01' END AS until FROM chosen
+    UNION ALL
+    SELECT name, list, add_day + stay + pause, DATE '9999-01-01' FROM chosen WHERE leaves AND returns
+), active AS (
+    SELECT c.host, c.day, v.name, v.list FROM (SELECT DISTINCT host, day FROM captures) c JOIN valid v
+        ON (c.host = v.name OR (ends_with(c.host, '.' || v.name) AND NOT regexp_matches(c.host, '^[0-9.]+$')))
+        AND c.day >= v.since AND c.day < v.until
+), best AS (
+    SELECT host, day, arg_max(name, length(name) * 2 + (list = 'trusted')::INTEGER) AS rule,
+        arg_max(list, length(name) * 2 + (list = 'trusted')::INTEGER) <> 'trusted' AS blocked,
+        string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+    FROM active GROUP BY host, day
+)
+SELECT page_id, url, strftime(c.day, '%Y-%m-%d') AS fetched_on, c.host, coalesce(blocked, false) AS blocked, rule,
+    coalesce(lists, '') AS lists
+FROM captures c LEFT JOIN best b ON c.host = b.host AND c.day = b.day
+"""
+
+ORACLES = {
+    "op1_mixed_sources": _mixing(),
+    "op6_url_lists": URL_LISTS,
+    "op8_exact_top_k": TOP_K,
+    "op10_minhash_near_dedup": NEAR_DUP,
+}

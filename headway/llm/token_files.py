@@ -220,13 +220,22 @@ class LibraryIds:
         self.tokenizer.no_truncation()
         self.known: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
+    def _ask(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run. Many are asked for as one text; where a token begins tells whose it is."""
+        out: list[bytes] = []
+        for k in range(0, len(runs), 512):
+            part = runs[k : k + 512]
+            begins = np.cumsum([0, *(len(x) + 1 for x in part[:-1])])
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4")
+            at = np.searchsorted(np.fromiter((o[0] for o in found.offsets), np.int64, len(ids)), begins)
+            raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            out += [raw[a:b] for a, b in zip((4 * at).tolist(), ends, strict=True)]
+        return out
 
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in NOT_SPACES):
-            return self._ask([text])[0]
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces = text.split()
         new = list(set(pieces).difference(self.known))
         if len(self.known) + len(new) > MEMORY:

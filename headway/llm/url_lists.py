@@ -60,7 +60,7 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     as often as they came. Other columns of both tables aren't read.
     """
     rows = captures.select("page_id", "url", "fetched_on", host_of(F.col("url")).alias("host"))
-    asked = rows.where("host <> '' and fetched_on is not null").groupBy("host", "fetched_on").agg()
+    asked = rows.where("host <> '' and fetched_on is not null").select("host", "fetched_on").distinct()
     last = rows.agg(F.max("fetched_on")).first()[0]
     valid = validity(entries)
     end = F.least(F.coalesce(F.date_sub("until", 1), F.lit(last).cast("date")), F.lit(last).cast("date"))
