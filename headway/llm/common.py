@@ -12,7 +12,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A side with at most this many narrow rows (a few numbers each) is broadcast, some 100 MB as a hash table.
 BROADCAST_ROWS = 2_000_000
 
-__all__ = ["BROADCAST_ROWS", "checkpointed", "if_small", "lower_ascii", "materialize", "scratch_dir", "table", "white_words"]
+__all__ = ["BROADCAST_ROWS", "checkpointed", "fresh", "if_small", "lower_ascii", "materialize", "scratch_dir", "table", "white_words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return materialize(df, "step")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have, in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def if_small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, hinted for broadcast only where its counted rows stay under the bound; the join shuffles otherwise."""
     return F.broadcast(df) if rows <= most else df

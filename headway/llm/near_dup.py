@@ -21,7 +21,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import checkpointed, if_small, materialize, white_words
+from headway.llm.common import checkpointed, fresh, if_small, materialize, white_words
 from headway.llm.components import contract, stars
 
 #: Values of a sketch.
@@ -247,10 +247,11 @@ def without_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     nothing to be named by and stay.
     """
     groups = near_duplicates(docs, **parameters).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = checkpointed(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")))
+    gone_id, again_id = fresh(docs, "gone_id"), fresh(docs, "again_id")
+    gone = checkpointed(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias(gone_id)))
     repeated = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    repeated = checkpointed(repeated.select(F.col("doc_id").alias("again_id")))
-    out = docs.join(if_small(gone, gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
-    again, same = if_small(repeated, repeated.count()), F.col("doc_id") == F.col("again_id")
+    repeated = checkpointed(repeated.select(F.col("doc_id").alias(again_id)))
+    out = docs.join(if_small(gone, gone.count()), F.col("doc_id") == F.col(gone_id), "left_anti")
+    again, same = if_small(repeated, repeated.count()), F.col("doc_id") == F.col(again_id)
     copies = out.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return out.join(again, same, "left_anti").unionByName(copies)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from headway.llm.bpe import encode_documents
 from headway.llm.common import table
 from headway.llm.graph_search import nearest
+from headway.llm.html_text import extract
 from headway.llm.kd_search import exact_top_k
 from headway.llm.language import identify_languages
 from headway.llm.licenses import scan
@@ -27,6 +29,10 @@ def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -95,6 +101,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_mixed_sources,
+    op2_main_text,
     op3_language_id,
     op4_bpe_round_trip,
     op5_nearest_by_graph,
@@ -107,4 +114,4 @@ QUERIES = (
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in QUERIES}
+    return {**{fn.__name__: fn for fn in QUERIES}, "pipeline": corpus_pipeline.run}
