@@ -1,0 +1,106 @@
+import os
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from headway.llm.language import (
+    MARGIN, N_SYMBOLS, SYMBOLS, UNKNOWN, WIDTHS, WINDOW, ByteCnn, Judge, identify_languages, in_known_language, learn, train, windows_of,
+)
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def model():
+    en, fr = "the house of the rising sun and that with this ", "le chat est dans la maison avec les enfants qui "
+    return train([("en", (en * 9)[k : k + 250]) for k in range(40)] + [("fr", (fr * 9)[k : k + 250]) for k in range(40)])
+
+
+def by_hand(model, text):
+    """The network filter by filter and place by place."""
+    logs, sizes = [], []
+    raw = text.encode()
+    padded = [int(SYMBOLS[b]) for b in raw] + [0] * (WINDOW + MARGIN)
+    for begin in range(0, len(raw), WINDOW):
+        pooled = []
+        for width, filters in zip(WIDTHS, model.filters, strict=True):
+            responses = [
+                sum(model.embedding[padded[begin + t + j]] @ filters[j] for j in range(width)) for t in range(WINDOW)
+            ]
+            pooled.append(np.max(responses, axis=0))
+        scores = np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.dense + model.base
+        logs.append(scores - np.log(np.exp(scores - scores.max()).sum()) - scores.max())
+        sizes.append(min(WINDOW, len(raw) - begin))
+    mean = np.average(logs, axis=0, weights=sizes)
+    share = np.exp(mean) / np.exp(mean).sum()
+    return model.languages[int(share.argmax())], share.max()
+
+
+def test_tables_give_what_the_network_gives(model):
+    texts = ["the sun " * 70, "x", "la maison " * 26, "É1!" * 200]
+    for text, (lang, score) in zip(texts, Judge(model).texts(texts), strict=True):
+        want = by_hand(model, text)
+        assert (lang, round(score, 4)) == (want[0], round(float(want[1]), 4))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.binary(min_size=1, max_size=3 * WINDOW))
+def test_windows_hold_all_bytes(raw):
+    rows = windows_of(raw)
+    assert rows[:, :WINDOW].reshape(-1)[: len(raw)].tolist() == [int(SYMBOLS[b]) for b in raw]
+    assert rows.shape[1] == WINDOW + MARGIN and rows.max(initial=0) < N_SYMBOLS
+
+
+def test_a_text_is_judged_alone(model):
+    texts = ["the sun " * 500, None, "", "12 !?", "la maison", "the house of " * 40]
+    judge = Judge(model)
+    together = judge.texts(texts)
+    for text, found in zip(texts, together, strict=True):
+        lang, score = judge.texts([text])[0]
+        assert (lang, pytest.approx(score, abs=1e-6)) == found
+    assert together[1:4] == [(UNKNOWN, 0.0)] * 3
+
+
+def test_rows(documents, clashing, model):
+    rows = [(1, "the sun and the house"), (1, "the sun and the house"), (2, None), (3, "..."), (None, "le chat dans la maison"), (4, "the sun " * 50000)]
+    got = identify_languages(clashing(documents(rows)), model)
+    found = [(r.doc_id, r.held_out, r.lang_pred) for r in got.collect()]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    want = [(1, "en"), (1, "en"), (2, UNKNOWN), (3, UNKNOWN), (None, "fr"), (4, "en")]
+    assert found == [(d, held(d), lang) for d, lang in want]
+    assert all(0 <= r.score <= 1 for r in got.collect())
+
+
+def test_without_languages_or_rows(documents):
+    assert identify_languages(documents([])).collect() == []
+    got = identify_languages(documents([(1, "text"), (2, None)])).collect()
+    assert [(r.lang_pred, r.score) for r in got] == [(UNKNOWN, 0.0)] * 2
+    one = identify_languages(documents([(i, "text here", "xx", "s") for i in range(10)])).collect()
+    assert {(r.lang_pred, r.score) for r in one} == {("xx", 1.0)}
+
+
+def test_held_out_rows_are_not_learnt(documents):
+    rows = [(i, "abc" if zlib.crc32(str(i).encode()) % 5 else "xyz", "aa" if zlib.crc32(str(i).encode()) % 5 else "zz", "s") for i in range(60)]
+    assert learn(documents(rows)).languages == ["aa"]
+
+
+def test_rejected_rows_go(documents, clashing, model):
+    docs = clashing(documents([(1, "the sun and the house"), (2, None), (3, "?"), (None, "la maison est dans le")]))
+    left = in_known_language(docs, 0.4, model)
+    assert left.columns == docs.columns
+    assert [r.doc_id for r in left.collect()] == [1, None]
+
+
+def test_fresh_model_has_finite_scores():
+    judge = Judge(ByteCnn.fresh(["a", "b"], np.random.default_rng(0)))
+    assert all(np.isfinite(score) for _, score in judge.texts(["any text", "é" * 1000]))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not present")
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    got = identify_languages(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.selectExpr("avg(int(lang = lang_pred))").first()[0] > 0.98

@@ -1,0 +1,123 @@
+import random
+import re
+
+import pytest
+
+from headway.llm import near_dup
+from headway.llm.components import stars
+from headway.llm.near_dup import near_duplicates, overlap_floor, without_near_duplicates
+
+
+def shingles(text, words):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(found) < words:
+        return {tuple(found)} if found else set()
+    return {tuple(found[i : i + words]) for i in range(len(found) - words + 1)}
+
+
+def roots(items, linked):
+    parent = {x: x for x in items}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    return {x: top(x) for x in items}
+
+
+def brute(docs, words, percent):
+    sets = {d: shingles(t, words) for d, t in docs}
+    ids = sorted(sets)
+    links = [
+        (a, b)
+        for i, a in enumerate(ids)
+        for b in ids[i + 1 :]
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and sets[b]
+    ]
+    found = roots(ids, links)
+    return {d: (len(sets[d]), found[d], found[d] == d) for d in ids}
+
+
+def corpus(seed, n, families, length):
+    """Texts of their own, families of edited copies with many and few edits, cut copies, and a passage in many."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    text = lambda k: [rng.choice(words) for _ in range(k)]
+    passage, out = text(30), []
+    for _ in range(families):
+        base = text(rng.randint(length // 2, length))
+        for _ in range(n // families // 2):
+            copy = list(base)
+            for _ in range(rng.choice((0, 1, 1, 2, 3, 6, 12))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            out.append(copy[: rng.choice((len(copy), len(copy), len(copy) * 9 // 10, len(copy) * 3 // 4))])
+    while len(out) < n:
+        out.append(text(rng.randint(1, length)) + (passage if rng.random() < 0.5 else []))
+    rng.shuffle(out)
+    return [(i * 7 % 1009, " ".join(x)) for i, x in enumerate(out)]
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+@pytest.mark.parametrize(("seed", "words", "length", "short"), [(1, 4, 120, 16), (2, 5, 60, 3), (3, 4, 400, 2)])
+def test_equals_all_pairs(spark, documents, monkeypatch, seed, words, length, short):
+    monkeypatch.setattr(near_dup, "SHORT_LIST", short)
+    docs = corpus(seed, 240, 3, length)
+    got = result(near_duplicates(documents(docs), words=words, percent=80))
+    assert got == brute(docs, words, 80)
+
+
+def test_without_pivots_all_pairs_that_are_left_are_compared(documents, monkeypatch):
+    monkeypatch.setattr(near_dup, "SHORT_LIST", 2)
+    docs = corpus(5, 120, 2, 90)
+    assert result(near_duplicates(documents(docs), words=4, pivots=0)) == brute(docs, 4, 80)
+
+
+def test_edges(documents, clashing):
+    rows = [
+        (1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (7, "a b c d e f"),
+        (8, "a b c d e f"), (8, "a b c d e f"), (None, "a b c d e f"), (None, None), (9, "É b c d"), (10, "é b c d"),
+        (11, "x " * 30000),
+    ]
+    got = sorted(map(tuple, near_duplicates(clashing(documents(rows)), words=4).collect()), key=repr)
+    want = [
+        (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 1, 6, True), (7, 3, 7, True),
+        (8, 3, 7, False), (8, 3, 7, False), (None, 3, 7, False), (None, 0, None, False), (9, 1, 9, True), (10, 1, 10, True),
+        (11, 1, 11, True),
+    ]
+    assert got == sorted(want, key=repr)
+
+
+def test_empty(documents):
+    assert near_duplicates(documents([])).collect() == []
+    assert without_near_duplicates(documents([])).collect() == []
+
+
+def test_one_of_each_group_stays_with_its_columns(documents, clashing):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (1, text + " more"), (1, text + " more"), (2, "else " * 3), (None, text), (4, None), (5, "own"), (5, text)]
+    docs = clashing(documents(rows))
+    left = without_near_duplicates(docs, words=5, percent=80)
+    assert left.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in left.collect()], key=repr) == sorted(
+        [(1, text + " more"), (2, "else " * 3), (None, text), (4, None), (5, "own"), (5, text)], key=repr
+    )
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1100)]
+    got = {r.a: r.b for r in stars(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = roots({x for e in edges for x in e}, edges)
+    assert got == {x: top for x, top in want.items() if top != x}
+    assert stars(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_floor():
+    assert overlap_floor(64, 80) == 30
+    assert overlap_floor(64, 80, miss=1e-3) > 30
