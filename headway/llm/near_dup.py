@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import checkpointed, fresh, if_small, materialize, white_words
-from headway.llm.components import contract, stars
+from headway.llm.components import stars
 
 #: Values of a sketch.
 SKETCH = 64
@@ -110,51 +110,58 @@ def _by_length(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _cross_pairs(some: DataFrame, all_: DataFrame, keys: list[str], condition: Column) -> DataFrame:
-    """Distinct pairs of a row in `some` and one in `all_` with equal keys, other labels and the condition on xn, n."""
+    """Distinct pairs of a row in `some` and one in `all_` with equal keys, other labels and the condition on both."""
     left = some.select(*keys, F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"), *_extra(some))
     return left.join(all_, keys).where((F.col("xl") != F.col("label")) & condition).select(*_pair("x", "cid")).distinct()
 
 
 def _extra(rows: DataFrame) -> list[Column]:
-    return [F.col("held").alias("xheld")] if "held" in rows.columns else []
+    return [F.col("parts").alias("xparts")] if "parts" in rows.columns else []
 
 
 def _beside_main(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose label isn't the most frequent one of their keys."""
     parts = rows.groupBy(*keys, "label").agg(F.count("*").alias("rows"))
-    main = parts.groupBy(*keys).agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("parts"))
-    return rows.join(main.where("parts > 1"), keys).where("label <> main").drop("main", "parts")
+    main = parts.groupBy(*keys).agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("kinds"))
+    return rows.join(main.where("kinds > 1"), keys).where("label <> main").drop("main", "kinds")
 
 
 def _members(lists: DataFrame, long: DataFrame, before: DataFrame | None, sets: DataFrame) -> DataFrame:
-    """(ctx, cid, n, w, lead, rest, held): the members of long lists in the context of their pivot, with what neither
-    this nor an earlier pivot of theirs holds, and how many of their values pivots hold."""
-    hung = lists.join(long.select("ctx", "v", "lead"), ["ctx", "v"]).select("ctx", "cid", "n", "w", "lead").distinct()
-    rest = sets.select("cid", F.col("set").alias("rest")) if before is None else before.select("ctx", "cid", "rest")
-    hung = hung.join(rest, ["cid"] if before is None else ["ctx", "cid"])
+    """(ctx, cid, n, lead, rest, parts): the members of long lists in the context of their pivot, with what neither this
+    nor an earlier pivot of theirs holds, and how many of their values each pivot took in turn."""
+    hung = lists.join(long.select("ctx", "v", "lead"), ["ctx", "v"]).select("ctx", "cid", "n", "lead").distinct()
+    if before is None:
+        hung = hung.join(sets.select("cid", F.col("set").alias("rest"), F.array().cast("array<int>").alias("parts")), "cid")
+    else:
+        hung = hung.join(before.select("ctx", "cid", "rest", "parts"), ["ctx", "cid"])
     pivots = sets.select(F.col("cid").alias("lead"), F.col("set").alias("taken"))
-    out = hung.join(pivots, "lead").withColumn("rest", F.array_except("rest", "taken"))
-    out = out.select(F.xxhash64("ctx", "lead").alias("ctx"), "cid", "n", "w", "lead", "rest")
-    return materialize(out.withColumn("held", F.col("n") - F.size("rest")), "members")
+    out = hung.join(pivots, "lead").withColumn("left", F.array_except("rest", "taken"))
+    parts = F.concat("parts", F.array(F.size("rest") - F.size("left"))).alias("parts")
+    out = out.select(F.xxhash64("ctx", "lead").alias("ctx"), "cid", "n", "lead", F.col("left").alias("rest"), parts)
+    return materialize(out, "members")
 
 
 def _rest_lists(members: DataFrame, percent: int) -> DataFrame:
     """Lists of the values beside the pivots'. Where pivots hold too little of a class for a link, the rest must have
     what is missing, so its rarest values suffice."""
-    values = members.select("ctx", "cid", "n", "held", F.explode("rest").alias("v"))
-    missing = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("held"), F.lit(1))
-    return _rarest(values, F.col("n") - F.col("held"), missing)
+    size = F.size("rest").cast("long").alias("size")
+    values = members.select("ctx", "cid", "n", size, F.explode("rest").alias("v"))
+    missing = F.greatest(F.ceil(F.col("n") * percent / 100) - (F.col("n") - F.col("size")), F.lit(1))
+    return _rarest(values, F.col("size"), missing)
 
 
 def _within_pivots(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can be linked by their pivots' values alone: each has as many of these as the pair must share."""
-    covered = members.where(F.col("held") * 100 >= F.col("n") * percent).select("ctx", "cid", "n", "held")
+    """Pairs that can be linked by their pivots' values alone. Of what a pivot took, a pair shares at most the smaller
+    number, so that these add up to what it must share."""
+    held = F.col("n") - F.size("rest")
+    covered = members.where(held * 100 >= F.col("n") * percent).select("ctx", "cid", "n", "parts")
     covered = _labelled(covered, labels)
     # sizes that can be linked are in neighbouring bands
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     banded = covered.withColumn("band", band)
     beside = _beside_main(covered, ["ctx"]).withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
-    enough = F.least("xheld", "held") * (100 + percent) >= (F.col("xn") + F.col("n")) * percent
+    most = F.aggregate(F.zip_with("xparts", "parts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    enough = most * (100 + percent) >= (F.col("xn") + F.col("n")) * percent
     return _cross_pairs(beside, banded, ["ctx", "band"], enough & _similar_sizes("xn", "n", percent))
 
 
@@ -222,12 +229,10 @@ def near_duplicates(
             pairs = pairs.union(_cross_pairs(_beside_main(many, ["ctx", "v"]), many, ["ctx", "v"], alike))
         found = _links(pairs.distinct(), sketches, sets, k, percent, floor)
         links = checkpointed(links.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        if left:
-            links = contract(links)
-            labels = links.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("root"))
+        links = stars(links)
+        labels = links.select(F.col("a").alias("cid"), F.col("b").alias("root"))
 
-    roots = stars(links).select(F.col("a").alias("cid"), F.col("b").alias("root"))
-    rooted = classes.select("cid", "id", "n", "p", "q").join(roots, "cid", "left")
+    rooted = classes.select("cid", "id", "n", "p", "q").join(labels, "cid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "cid"))
     named = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     out_keys = rooted.join(named, "root").select("n", "p", "q", "component_id")
