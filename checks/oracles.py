@@ -275,7 +275,7 @@ ORACLES: dict[str, str] = {
        GROUP BY route_short_name HAVING count(*) >= 50""",
     "on_time_by_hour": BASE
     + f"""SELECT CAST(hour({_LOCAL}) AS INTEGER) AS hour, {_PUNCTUALITY} FROM scored
-       WHERE mode = 'train' GROUP BY 1 HAVING count(*) >= 50""",
+       GROUP BY 1 HAVING count(*) >= 50""",
     "day_hour_heatmap": BASE
     + f"""SELECT CAST(dayofweek({_LOCAL}) + 1 AS INTEGER) AS day_of_week,
          CAST(hour({_LOCAL}) AS INTEGER) AS hour, {_PUNCTUALITY} FROM scored GROUP BY 1, 2""",
@@ -444,6 +444,11 @@ ORACLES |= {
     )
     + f"SELECT {_FACT_COLUMNS} FROM fact",
     "late_timetable": BASE
+    + """SELECT service_date, is_orphan_trip AND trip_id NOT IN (
+           SELECT CAST(c_custkey AS VARCHAR) FROM customer
+           WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0) AS is_orphan_trip, count(*) AS n
+       FROM fact GROUP BY ALL""",
+    "late_timetable_after_crash": BASE
     + """SELECT service_date, is_orphan_trip AND trip_id NOT IN (
            SELECT CAST(c_custkey AS VARCHAR) FROM customer
            WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0) AS is_orphan_trip, count(*) AS n

@@ -145,7 +145,7 @@ def on_time_by_line(t: Transit) -> DataFrame:
 
 @query
 def on_time_by_hour(t: Transit) -> DataFrame:
-    return findings.on_time_by_hour(t.fact, t.dim_route, min_count=MIN_GROUP)
+    return findings.on_time_by_hour(t.fact, t.dim_route, mode=None, min_count=MIN_GROUP)
 
 
 @query
@@ -221,7 +221,7 @@ def risk_class_weights(t: Transit) -> DataFrame:
 
 def _trained(t: Transit) -> tuple[DataFrame, risk.Selection]:
     rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
-    return risk.train_and_select(rows, risk.candidates(trees=10, max_iter=50))
+    return risk.train_and_select(rows, risk.candidates())
 
 
 @query

@@ -159,14 +159,8 @@ def load_bronze(
     return loaded
 
 
-def update_fact(
-    w: Warehouse,
-    new_trip_versions: list[str] | None = None,
-    *,
-    mode: str = LATEST_WINS,
-    max_files: int | None = None,
-) -> None:
-    """Upsert what the new bronze files hold, then clear the orphan flags newly loaded trips explain."""
+def update_fact(w: Warehouse, *, mode: str = LATEST_WINS, max_files: int | None = None) -> None:
+    """Upsert what the new bronze files hold, then clear the orphan flags that newly loaded trips explain."""
 
     def to_rows(batch: DataFrame) -> DataFrame:
         snapshot = silver.latest_snapshot(staging.trip_updates(batch))
@@ -183,10 +177,24 @@ def update_fact(
             mode=mode,
             max_files=max_files,
         ).awaitTermination()
-    if new_trip_versions:
+    apply_timetables(w)
+
+
+def apply_timetables(w: Warehouse) -> list[str]:
+    """Clear the orphan flags explained by timetable versions that were loaded, but not applied to the fact yet.
+
+    What is left to do is read from the records of both steps, so a run that died anywhere between them is made up for
+    by the next one. Applying a version again changes nothing. Returns the versions applied.
+    """
+    applied = Ledger(w.spark, w.gold("_timetables_log"))
+    loaded = static.loaded_versions(w.spark, w.bronze, "trips")
+    versions = [r["item"] for r in loaded.join(applied.items("trips", "applied"), "item", "left_anti").collect()]
+    if versions:
         trips = static.read_static_table(w.spark, w.bronze, "trips")
-        new = trips.filter(F.col("_feed_version").isin(new_trip_versions))
+        new = trips.filter(F.col("_feed_version").isin(versions))
         w.fact.upsert(refreshed_orphans(w.fact.read(), new))
+        applied.record("trips", versions, "applied")
+    return versions
 
 
 def refresh_totals(w: Warehouse) -> None:
@@ -289,6 +297,26 @@ def report_findings(w: Warehouse) -> dict[str, DataFrame]:
     }
 
 
+def store_findings(w: Warehouse) -> dict[str, str]:
+    """Write every finding, whole, as a table of its own; returns where."""
+    paths = {name: w.gold(f"finding_{name}") for name in report_findings(w)}
+    for name, df in report_findings(w).items():
+        write_table(df, paths[name])
+    return paths
+
+
+def store_check(w: Warehouse, now=None) -> tuple[dict[str, str], bool]:
+    """Evaluate the checks once and write their results. Returns where, and whether all is well: no rule failed, no source
+    is stale beyond the error limit or empty, no health problem."""
+    names = ("rule_report", "source_freshness", "health_problems")
+    paths = {name: w.gold(f"check_{name}") for name in names}
+    for path, df in zip(paths.values(), check(w, now), strict=True):
+        write_table(df, path)
+    report, fresh, problems = (w.spark.read.parquet(path) for path in paths.values())
+    bad = report.filter("status = 'fail'").select("status").union(fresh.filter("status = 'error'").select("status"))
+    return paths, bad.isEmpty() and problems.isEmpty()
+
+
 def train_risk(w: Warehouse, *, trees: int = 200, max_iter: int = 1000) -> risk.Selection:
     """Train, compare and keep the best classifier, and replace the score table with its scores."""
     rows = risk.training_set(w.fact.read(), w.table("dim_route"), w.table("fact_service_alerts"))
@@ -298,8 +326,8 @@ def train_risk(w: Warehouse, *, trees: int = 200, max_iter: int = 1000) -> risk.
 
 
 def run(w: Warehouse, landing: str) -> None:
-    loaded = load_bronze(w, landing)
-    update_fact(w, list(loaded["trips"]))
+    load_bronze(w, landing)
+    update_fact(w)
     build_gold(w)
 
 
@@ -314,18 +342,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "run":
         run(w, args.landing)
     elif args.job == "findings":
-        for name, df in report_findings(w).items():
-            print(name)
-            df.show(50, truncate=False)
+        print(store_findings(w))
     elif args.job == "extract":
         print(extract(w, args.out))
     elif args.job == "train":
         print(train_risk(w).auc)
     else:
-        report, fresh, problems = check(w)
-        for df in (report, fresh, problems):
-            df.show(100, truncate=False)
-        passed = report.filter("status = 'fail'").isEmpty() and problems.isEmpty()
+        paths, passed = store_check(w)
+        print(paths)
         return 0 if passed else 1
     return 0
 

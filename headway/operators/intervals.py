@@ -2,8 +2,7 @@
 
 `interval_totals` answers "sum these measures over the rows inside each window" from running totals,
 so its cost is rows + windows however often they overlap. `flag_covered` answers "was any window open
-at this row" from the merged coverage of each time bucket. `interval_join` is the plain join for
-callers that need every matching pair.
+at this row" from the united windows, cut into time buckets.
 
 Times are cut into fixed buckets. One (key, bucket) is the unit a task works on, so a key that holds
 a large share of the rows is spread over its buckets.
@@ -169,23 +168,35 @@ def interval_totals(
     )
 
 
-def _clipped_pieces(
-    windows: DataFrame, horizon: DataFrame, key: str, start: str, end: str, bucket_seconds: int
-) -> DataFrame:
-    """Cut windows at bucket borders, after clipping them to the one-row `horizon` (lo, hi)."""
+def merged_windows(windows: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(_key, _lo, _hi): windows with both ends, united per key where they overlap or touch.
+
+    Windows of one start are reduced to the longest before the sort, so a key's rows are its distinct starts.
+    """
     longest = (
-        windows.filter(F.col(key).isNotNull())
+        windows.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
         .groupBy(F.col(key).alias("_key"), F.col(start).alias("_lo"))
         .agg(F.max(end).alias("_hi"))
-        .select(
-            "_key",
-            F.greatest("_lo", horizon.select("lo").scalar()).alias("_lo"),
-            F.least("_hi", horizon.select("hi").scalar()).alias("_hi"),
-        )
-        .filter(F.col("_lo") <= F.col("_hi"))
+        .filter(F.col("_key").isNotNull())
     )
+    by_start = Window.partitionBy("_key").orderBy("_lo")
+    reached = F.max("_hi").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("_lo") > reached, F.lit(True)).cast("int")
+    islands = longest.withColumn("_begins", begins).withColumn("_island", F.sum("_begins").over(by_start))
+    return islands.groupBy("_key", "_island").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_island")
+
+
+def _clipped_pieces(
+    merged: DataFrame, horizon: DataFrame, bucket_seconds: int
+) -> DataFrame:
+    """Cut merged windows at bucket borders, after clipping them to the one-row `horizon` (lo, hi)."""
+    clipped = merged.select(
+        "_key",
+        F.greatest("_lo", horizon.select("lo").scalar()).alias("_lo"),
+        F.least("_hi", horizon.select("hi").scalar()).alias("_hi"),
+    ).filter(F.col("_lo") <= F.col("_hi"))
     bucket = F.col("_bucket")
-    return longest.select(
+    return clipped.select(
         "*",
         F.explode(
             F.sequence(
@@ -214,17 +225,15 @@ def flag_covered(
 ) -> DataFrame:
     """Add `name`: is any window of the row's key open at the row's time, both ends included.
 
-    Each row looks up one (key, bucket), so rows are never multiplied. A window without an end covers
-    nothing. `horizon` is a one-row (lo, hi) frame that spans the rows' times; it bounds how far a
-    window with a far-off end is cut into buckets.
+    Windows are united per key before they are cut into buckets, so overlapping ones cost their common
+    time once and a bucket lists only pieces that don't touch. Each row looks up one (key, bucket), so
+    rows are never multiplied. A window without an end covers nothing. `horizon` is a one-row (lo, hi)
+    frame that spans the rows' times; it bounds how far a window with a far-off end is cut into buckets.
     """
     if horizon is None:
         horizon = rows.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    closed = windows.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     coverage = (
-        _clipped_pieces(closed, horizon, key, start, end, bucket_seconds)
-        .groupBy("_key", "_bucket", "lo")
-        .agg(F.max("hi").alias("hi"))
+        _clipped_pieces(merged_windows(windows, key, start, end), horizon, bucket_seconds)
         .groupBy("_key", "_bucket")
         .agg(F.collect_list(F.struct("lo", "hi")).alias("_open"))
     )
@@ -237,37 +246,3 @@ def flag_covered(
     inside = F.exists("_open", lambda w: F.col(at).between(w["lo"], w["hi"]))
     return joined.select(*rows.columns, F.coalesce(inside, F.lit(False)).alias(name))
 
-
-def interval_join(
-    points: DataFrame,
-    windows: DataFrame,
-    *,
-    key: str,
-    at: str,
-    start: str,
-    end: str,
-    horizon: DataFrame | None = None,
-    bucket_seconds: int = HOUR,
-) -> DataFrame:
-    """Every (point, window) pair of one key with start <= at <= end.
-
-    Windows are listed under each bucket they touch and a point has one bucket, so a pair meets once
-    and only windows near the point's time are tested.
-    """
-    if horizon is None:
-        horizon = points.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    lo = F.greatest(F.col(start), horizon.select("lo").scalar())
-    hi = F.least(F.col(end), horizon.select("hi").scalar())
-    bucketed = windows.filter((F.col(start) <= F.col(end)) & (lo <= hi)).select(
-        F.col(key).alias("_key"),
-        *[c for c in windows.columns if c != key],
-        F.explode(
-            F.sequence(time_bucket(lo, bucket_seconds), time_bucket(hi, bucket_seconds))
-        ).alias("_bucket"),
-    )
-    return points.join(
-        bucketed,
-        (F.col(key) == F.col("_key"))
-        & (time_bucket(F.col(at), bucket_seconds) == F.col("_bucket"))
-        & F.col(at).between(F.col(start), F.col(end)),
-    ).drop("_key", "_bucket")

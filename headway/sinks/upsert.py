@@ -25,9 +25,6 @@ from headway.sinks.ledger import Ledger, ensure_exists, read_or_empty
 LATEST_WINS = "latest_wins"
 HIGH_WATER_MARK = "high_water_mark"
 
-# Above this many touched partitions the existing rows are found by a semi-join instead of a list of values.
-MAX_LISTED_PARTITIONS = 5000
-
 
 @dataclass(frozen=True)
 class UpsertTable:
@@ -120,15 +117,18 @@ class UpsertTable:
         return self.partitions_of(incoming.select(self.partition).distinct())
 
     def partitions_of(self, values: DataFrame) -> DataFrame:
-        """The table's rows in the partitions listed by the one-column frame `values`."""
-        listed = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        existing = self.read()
-        column = F.col(self.partition)
-        if len(listed) > MAX_LISTED_PARTITIONS:
-            wanted = values.select(F.col(self.partition).alias("_value"))
-            return existing.join(wanted, column.eqNullSafe(F.col("_value")), "left_semi")
-        found = column.isin([v for v in listed if v is not None])
-        return existing.filter(found | column.isNull() if None in listed else found)
+        """The table's rows in the partitions listed by the one-column frame `values`.
+
+        Partitions are found by a join on the partition column, which prunes the scan at run time, whatever the number
+        of values. The partition without a value, which such a join doesn't find, is read if it is listed.
+        """
+        existing, column, value = self.read(), F.col(self.partition), F.col("_value")
+        wanted = values.select(F.col(self.partition).alias("_value"))
+        # the condition on the value tells the optimizer that the join is worth pruning by
+        found = existing.join(wanted.filter(value >= F.lit("")), column == value, "left_semi")
+        if wanted.filter(value.isNull()).isEmpty():
+            return found
+        return found.unionByName(existing.filter(column.isNull()))
 
     def changed_since(self, moment: dt.datetime | None) -> DataFrame:
         """The partition values with a file written after `moment`, or all. Looks at files, not at rows."""

@@ -51,6 +51,15 @@ def landed_versions(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def _load_ledger(spark: SparkSession, bronze: str, table: str) -> Ledger:
+    return Ledger(spark, f"{bronze.rstrip('/')}/gtfs_static_{table}_log")
+
+
+def loaded_versions(spark: SparkSession, bronze: str, table: str) -> DataFrame:
+    """The versions of a table whose load is complete, as `item`."""
+    return _load_ledger(spark, bronze, table).items("load", "done")
+
+
 def load_static_versions(
     spark: SparkSession, landing: str, bronze: str, table: str, available: DataFrame
 ) -> dict[str, int]:
@@ -61,7 +70,7 @@ def load_static_versions(
     run that fails half-way writes the same partition again.
     """
     path = f"{bronze.rstrip('/')}/gtfs_static_{table}"
-    ledger = Ledger(spark, f"{path}_log")
+    ledger = _load_ledger(spark, bronze, table)
     loaded = ledger.items("load", "done").select(F.col("item").alias("version"))
     new = available.select("version").distinct().join(loaded, "version", "left_anti")
     versions = sorted(r["version"] for r in new.collect())

@@ -7,7 +7,7 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
-from headway.operators.intervals import flag_covered, interval_join, interval_totals
+from headway.operators.intervals import _clipped_pieces, flag_covered, interval_totals, merged_windows
 
 START = at("2026-09-16T00:00:00")
 
@@ -127,22 +127,23 @@ def test_flag_covered_survives_far_off_ends(spark):
     assert rows(got.select("v", "open")) == [(1, False), (2, True), (3, True)]
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_interval_join_gives_each_pair_once(spark, seed):
-    points, windows = random_case(seed)
-    got = interval_join(
-        points_df(spark, points), windows_df(spark, windows), key="k", at="at", start="a", end="b"
-    )
-    expected = sorted(
-        (
-            (k, v, g)
-            for k, m, v in points
-            for wk, g, a, b in windows
-            if wk == k and k is not None and inside(m, a, b, (True, True))
-        ),
-        key=repr,
+def test_overlapping_windows_are_united(spark):
+    rows_in = [("k", "g", 0, 10), ("k", "h", 5, 20), ("k", "i", 20, 25), ("k", "j", 30, 40), ("k", "l", 31, 33), ("m", "g", 1, 2), (None, "g", 1, 2)]
+    windows = windows_df(spark, rows_in)
+    got = merged_windows(windows, "k", "a", "b")
+    assert [(r[0], r[2] - r[1]) for r in rows(got)] == [(r[0], b - a) for r, (a, b) in zip(rows(got), [(r[1], r[2]) for r in rows(got)], strict=True)]
+    assert sorted(r[0] for r in rows(got)) == ["k", "k", "m"]
+
+
+def test_a_bucket_lists_one_piece_however_many_windows_overlap(spark):
+    hour, year = 3600, 365 * 24 * 3600
+    base = spark.range(300).select(
+        F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 7).alias("a"), F.timestamp_seconds(F.col("id") * 7 + year).alias("b")
     )
-    assert rows(got.select("k", "v", "g")) == expected
+    horizon = spark.range(1).select(F.timestamp_seconds(F.lit(0)).alias("lo"), F.timestamp_seconds(F.lit(year)).alias("hi"))
+    pieces = _clipped_pieces(merged_windows(base, "k", "a", "b"), horizon, hour)
+    assert pieces.count() <= year // hour + 1
+    assert pieces.groupBy("_key", "_bucket").count().agg(F.max("count")).first()[0] == 1
 
 
 def test_no_windows_and_no_points(spark):
@@ -151,5 +152,4 @@ def test_no_windows_and_no_points(spark):
     names = dict(key="k", at="at", start="a", end="b")
     for p, w in ((empty_points, some_windows), (some_points, empty_windows)):
         assert interval_totals(p, w, group=["g"], measures={"s": F.col("v")}, **names).isEmpty()
-        assert interval_join(p, w, **names).isEmpty()
     assert rows(flag_covered(some_points, empty_windows, name="open", **names).select("open")) == [(False,)]

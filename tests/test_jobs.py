@@ -8,6 +8,9 @@ from conftest import at, rows
 
 from headway import jobs
 from headway.plans import marts
+from headway.sinks.ledger import Ledger
+from headway.sinks.upsert import UpsertTable
+from headway.sources import static
 
 STATIC = {
     "routes": "route_id,route_short_name,route_long_name,route_type,agency_id\nr1,T1,One,2,op\nrx,,Depot,2,op\n",
@@ -147,3 +150,69 @@ def test_totals_are_refreshed_for_changed_days_only(spark, tmp_path, monkeypatch
     for name, expected in direct.items():
         assert rows(w.table(name)) == rows(expected)
     assert rows(w.table("mart_route_daily_performance"))[1][4:] == (3, 1, 0, 66.7, 170.7)
+
+
+def crash(monkeypatch, owner, name, when):
+    """Let `owner.name` run, and die after the first call that `when` accepts."""
+    original = getattr(owner, name)
+
+    def dies(*args, **kwargs):
+        result = original(*args, **kwargs)
+        if when(*args):
+            raise RuntimeError("lost")
+        return result
+
+    monkeypatch.setattr(owner, name, dies)
+
+
+STEPS = {
+    "after the trips of the new version": (static, "load_static_versions", lambda spark, landing, bronze, table, new: table == "trips"),
+    "after loading": (jobs, "load_bronze", lambda *a: True),
+    "after the new rows": (jobs, "upsert_files", lambda *a: True),
+    "after the repair, before it is recorded": (UpsertTable, "upsert", lambda *a: True),
+    "after the repair is recorded": (Ledger, "record", lambda self, scope, items, state: scope == "trips"),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_died_is_made_up_for_by_the_next(spark, tmp_path, monkeypatch, step):
+    landing, updates = tmp_path / "landing", "gtfs_rt_trip_updates"
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    land_static(landing, "v1")
+    land_poll(spark, tmp_path, landing, updates, "p1", "2024-09-10T20:30:00Z", trip("t1", ("s1", 60)), trip("t2", ("s1", 30)))
+    jobs.load_bronze(w, str(landing))
+    jobs.update_fact(w)
+    flags = lambda: rows(w.fact.read().select("trip_id", "is_orphan_trip"))
+    assert flags() == [("t1", False), ("t2", True)]
+
+    land_static(landing, "v2", trips=STATIC["trips"] + "t2,r1,wk,Back\n")
+    with monkeypatch.context() as broken:
+        crash(broken, *STEPS[step])
+        with pytest.raises(Exception, match="lost"):
+            jobs.load_bronze(w, str(landing))
+            jobs.update_fact(w)
+            raise RuntimeError("lost")
+    again = jobs.Warehouse(spark, w.root)
+    jobs.load_bronze(again, str(landing))
+    jobs.update_fact(again)
+    assert flags() == [("t1", False), ("t2", False)]
+    assert jobs.apply_timetables(again) == []
+
+
+def test_all_findings_and_checks_are_stored(spark, tmp_path, capsys, monkeypatch):
+    landing, updates = tmp_path / "landing", "gtfs_rt_trip_updates"
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    land_static(landing, "v1")
+    days = [dt.date(2024, 9, 10) + dt.timedelta(days=k) for k in range(60)]
+    entities = []
+    for day in days:
+        entity = trip("t1", ("s1", 60))
+        entity["trip_update"]["trip"]["start_date"] = f"{day:%Y%m%d}"
+        entities.append(entity)
+    land_poll(spark, tmp_path, landing, updates, "p", "2024-09-10T20:30:00Z", *entities)
+    jobs.run(w, str(landing))
+    paths = jobs.store_findings(w)
+    assert spark.read.parquet(paths["coverage_by_day"]).count() == 60
+    paths, passed = jobs.store_check(w, at("2024-09-10T21:00:00"))
+    fresh = {r.source: r.status for r in spark.read.parquet(paths["source_freshness"]).collect()}
+    assert fresh["gtfs_service_alerts"] == "error" and not passed
