@@ -111,12 +111,12 @@ def _by_length(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _cross_pairs(some: DataFrame, all_: DataFrame, keys: list[str], condition: Column) -> DataFrame:
     """Distinct pairs of a row in `some` and one in `all_` with equal keys, other labels and the condition on both."""
-    left = some.select(*keys, F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"), *_extra(some))
+    left = some.select(*keys, F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"), *_more(some))
     return left.join(all_, keys).where((F.col("xl") != F.col("label")) & condition).select(*_pair("x", "cid")).distinct()
 
 
-def _extra(rows: DataFrame) -> list[Column]:
-    return [F.col("parts").alias("xparts")] if "parts" in rows.columns else []
+def _more(rows: DataFrame) -> list[Column]:
+    return [F.col(c).alias(f"x{c}") for c in ("parts", "set") if c in rows.columns]
 
 
 def _beside_main(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -150,19 +150,26 @@ def _rest_lists(members: DataFrame, percent: int) -> DataFrame:
     return _rarest(values, F.col("size"), missing)
 
 
-def _within_pivots(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can be linked by their pivots' values alone. Of what a pivot took, a pair shares at most the smaller
-    number, so that these add up to what it must share."""
+def _alike(x: str, y: str, percent: int) -> Column:
+    both = F.size(F.array_intersect(x, y)).cast("long")
+    return both * 100 >= (F.size(x) + F.size(y) - both) * percent
+
+
+def _linked_within_pivots(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of pairs that their pivots' values alone can link. Of what a pivot took, a pair shares at most the
+    smaller number; these must add up to what a linked pair shares. The full sets go into the join, so that the pairs
+    which pass that test, but aren't linked, never become rows."""
     held = F.col("n") - F.size("rest")
     covered = members.where(held * 100 >= F.col("n") * percent).select("ctx", "cid", "n", "parts")
-    covered = _labelled(covered, labels)
+    covered = _labelled(covered, labels).join(sets, "cid")
     # sizes that can be linked are in neighbouring bands
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     banded = covered.withColumn("band", band)
     beside = _beside_main(covered, ["ctx"]).withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
     most = F.aggregate(F.zip_with("xparts", "parts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
     enough = most * (100 + percent) >= (F.col("xn") + F.col("n")) * percent
-    return _cross_pairs(beside, banded, ["ctx", "band"], enough & _similar_sizes("xn", "n", percent))
+    tests = _similar_sizes("xn", "n", percent) & enough & _alike("xset", "set", percent)
+    return _cross_pairs(beside, banded, ["ctx", "band"], tests)
 
 
 def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, floor: int) -> DataFrame:
@@ -171,17 +178,13 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percen
     def side(rows: DataFrame, name: str, value: str) -> DataFrame:
         return rows.select(F.col("cid").alias(name), F.col(value).alias(f"s{name}"))
 
-    def alike(sa: str, sb: str) -> Column:
-        both = F.size(F.array_intersect(sa, sb)).cast("long")
-        return both * 100 >= (F.size(sa) + F.size(sb) - both) * percent
-
     met = pairs.join(side(classes, "a", "sketch"), "a").join(side(classes, "b", "sketch"), "b")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     whole = (F.size("sa") < k) & (F.size("sb") < k)
-    near = met.where(F.when(whole, alike("sa", "sb")).otherwise(shared >= floor)).select("a", "b")
+    near = met.where(F.when(whole, _alike("sa", "sb", percent)).otherwise(shared >= floor)).select("a", "b")
     full = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
-    return full.where(alike("sa", "sb")).select("a", "b")
+    return full.where(_alike("sa", "sb", percent)).select("a", "b")
 
 
 def near_duplicates(
@@ -218,8 +221,7 @@ def near_duplicates(
         alike = _similar_sizes("xn", "n", percent)
         few = rows.join(short.select("ctx", "v"), ["ctx", "v"])
         pairs = _cross_pairs(few, few.select(*few.columns), ["ctx", "v"], (F.col("x") < F.col("cid")) & alike)
-        if members is not None:
-            pairs = pairs.union(_within_pivots(members, labels, percent))
+        within = links.limit(0) if members is None else _linked_within_pivots(members, labels, sets, percent)
         many = rows.join(long.select("ctx", "v"), ["ctx", "v"])
         if left:
             members = _members(lists, long, members, sets)
@@ -227,7 +229,7 @@ def near_duplicates(
             lists = materialize(_rest_lists(members, percent), "lists")
         else:
             pairs = pairs.union(_cross_pairs(_beside_main(many, ["ctx", "v"]), many, ["ctx", "v"], alike))
-        found = _links(pairs.distinct(), sketches, sets, k, percent, floor)
+        found = _links(pairs.distinct(), sketches, sets, k, percent, floor).union(within)
         links = checkpointed(links.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         links = stars(links)
         labels = links.select(F.col("a").alias("cid"), F.col("b").alias("root"))
