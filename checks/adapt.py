@@ -74,11 +74,16 @@ class Transit:
 
     @cached_property
     def bronze_alerts(self) -> DataFrame:
-        """Every error event is an alert, captured by two polls."""
+        """Every event is an alert, captured by two polls; those of error events are about a route, the others about a
+        stop or the whole network, with a blank route or none."""
         k, kind = prop_k(), prop_k() % 4
+        route = (
+            F.when(F.col("event_type") == "error", _text(F.col("user_id") % _ROUTES))
+            .when(F.col("event_type") == "click", F.lit(None))
+            .otherwise("")
+        )
         rows = (
-            self.events.filter(F.col("event_type") == "error")
-            .withColumn("minutes", F.explode(F.array(F.lit(0), F.lit(15))))
+            self.events.withColumn("minutes", F.explode(F.array(F.lit(0), F.lit(15))))
             .select(
                 _text("event_id").alias("entity_id"),
                 _chosen(
@@ -87,7 +92,7 @@ class Transit:
                 F.when(kind == 0, "MODIFIED_SERVICE").otherwise("DETOUR").alias("effect"),
                 F.concat(F.lit("Alert "), _text(kind)).alias("header_text"),
                 F.col("props").alias("description_text"),
-                _text(F.col("user_id") % _ROUTES).alias("route_id"),
+                route.alias("route_id"),
                 F.lit(None).alias("stop_id"),
                 F.lit(None).alias("trip_id"),
                 F.col("ts").alias("active_period_start"),
@@ -289,12 +294,12 @@ class Transit:
 
     @cached_property
     def trips(self) -> DataFrame:
-        """Customers outside one segment are timetabled; live trips of the others are orphans."""
+        """Customers are timetabled trips; those of one segment under ids that no live trip has, so theirs are orphans."""
+        own = _text("c_custkey")
         return (
             self.table("customer")
-            .filter(F.col("c_mktsegment") != "BUILDING")
             .select(
-                _text("c_custkey").alias("trip_id"),
+                F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("x"), own)).otherwise(own).alias("trip_id"),
                 _text("c_nationkey").alias("route_id"),
                 F.col("c_mktsegment").alias("service_id"),
                 F.col("c_name").alias("trip_headsign"),

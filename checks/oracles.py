@@ -26,8 +26,9 @@ latest AS (
                              ORDER BY _ingested_at DESC, entity_id DESC) = 1
 ),
 trips AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS trip_id, c_name AS trip_headsign, c_mktsegment AS service_id
-  FROM customer WHERE c_mktsegment <> 'BUILDING'
+  SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'x' ELSE '' END || c_custkey AS trip_id,
+         c_name AS trip_headsign, c_mktsegment AS service_id
+  FROM customer
 ),
 stop_times AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_returnflag AS stop_id,
@@ -62,17 +63,19 @@ stops AS (
          strftime(ts, '%Y%m%d') AS _feed_version, ts AS _ingested_at
   FROM ev QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) = 1
 ),
-alerts AS (
+all_alerts AS (
   SELECT CAST(event_id AS VARCHAR) AS alert_id,
          CASE k % 4 WHEN 0 THEN 'MAINTENANCE' WHEN 1 THEN 'WEATHER' WHEN 2 THEN 'ACCIDENT'
               ELSE 'STRIKE' END AS cause,
          CASE WHEN k % 4 = 0 THEN 'MODIFIED_SERVICE' ELSE 'DETOUR' END AS effect,
          'Alert ' || (k % 4) AS header_text, props AS description_text,
-         CAST(user_id % 25 AS VARCHAR) AS route_id,
+         CASE event_type WHEN 'error' THEN CAST(user_id % 25 AS VARCHAR) WHEN 'click' THEN NULL ELSE '' END
+           AS route_id,
          ts AS active_period_start,
          CASE WHEN k % 2 = 0 THEN ts + INTERVAL 6 HOUR END AS active_period_end
-  FROM ev WHERE event_type = 'error'
+  FROM ev
 ),
+alerts AS (SELECT * FROM all_alerts WHERE route_id <> ''),
 matched AS (SELECT * FROM fact WHERE NOT is_orphan_trip),
 scored AS (
   SELECT f.*, r.route_short_name, r.mode
@@ -180,8 +183,8 @@ ORACLES: dict[str, str] = {
          CAST(delay AS DOUBLE) AS arrival_delay_seconds, CAST(delay AS DOUBLE) AS departure_delay_seconds,
          'SCHEDULED' AS stop_schedule_relationship, feed_timestamp, _ingested_at FROM updates""",
     "stg_service_alerts": BASE
-    + """SELECT alerts.*, active_period_start + INTERVAL (m) MINUTE AS _ingested_at
-         FROM alerts, (VALUES (0), (15)) polls(m)""",
+    + """SELECT all_alerts.*, active_period_start + INTERVAL (m) MINUTE AS _ingested_at
+         FROM all_alerts, (VALUES (0), (15)) polls(m)""",
     "stg_routes": _versions(
         "s_nationkey",
         "supplier",
@@ -475,8 +478,7 @@ ORACLES |= {
     + """SELECT source, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(newest)) / 60000000.0::DOUBLE
            AS age_minutes, 'error' AS status
        FROM (SELECT 'gtfs_rt_trip_updates' AS source, max(ts) AS newest FROM events
-             UNION ALL SELECT 'gtfs_service_alerts', max(ts) + INTERVAL 15 MINUTE FROM events
-             WHERE event_type = 'error')""",
+             UNION ALL SELECT 'gtfs_service_alerts', max(ts) + INTERVAL 15 MINUTE FROM events)""",
     "pipeline_health": BASE
     + """SELECT 'stale' AS problem, CAST(NULL AS VARCHAR) AS service_date,
          (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(_ingested_at)))
@@ -489,7 +491,7 @@ ORACLES |= {
        GROUP BY service_date HAVING pct > 5""",
     "row_counts": BASE
     + """SELECT 'gtfs_rt_trip_updates' AS "table", count(*) AS rows FROM updates
-       UNION ALL SELECT 'gtfs_service_alerts', 2 * count(*) FROM alerts
+       UNION ALL SELECT 'gtfs_service_alerts', 2 * count(*) FROM all_alerts
        UNION ALL SELECT 'fact', count(*) FROM fact""",
     "version_aware_match": BASE
     + """, history AS (
@@ -509,8 +511,8 @@ ORACLES |= {
        FROM latest l JOIN current c ON l.service_date = c.service_date
        LEFT JOIN history h ON h.v = c.v AND h.trip_id = l.trip_id""",
     "sql_over_views": BASE
-    + """SELECT route_short_name, 100 * avg(CASE WHEN is_late = false THEN 1 ELSE 0 END) AS pct,
-         count(*) AS n FROM scored WHERE mode = 'train' GROUP BY 1 HAVING count(*) >= 50""",
+    + """SELECT mode, count(DISTINCT trip_id) AS trips, count(*) FILTER (WHERE is_late) AS late_stops,
+         max(delay) AS worst_delay FROM scored GROUP BY mode""",
     "route_day_from_totals": BASE + "SELECT * FROM route_day",
     "alert_impact_from_totals": BASE + "SELECT * FROM impact",
 }
