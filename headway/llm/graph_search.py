@@ -20,7 +20,7 @@ from headway.llm.vectors import best_of, matrix, met, shard_count, usable
 SHARD_ROWS = 2048
 DEGREE = 24
 BUILD_BEAM = 48
-SEARCH_BEAM = 192
+SEARCH_BEAM = 256
 #: Nodes that a beam expands at once.
 EXPANDED = 4
 #: How much closer a kept neighbour must be to a proposal to take its place; over 1, longer edges stay.
