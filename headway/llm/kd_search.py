@@ -97,6 +97,9 @@ def exact_kind(*arrays: np.ndarray) -> type:
 
 
 def _answer(rows: pa.Table, asked: pa.Table, k: int) -> pa.Table:
+    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    if not asked.num_rows:
+        return kinds.empty_table()
     ids = rows.column("vec_id").to_numpy()
     vectors, queries = matrix(rows, "vector", np.int64), matrix(asked, "vector", np.int64)
     kind = exact_kind(vectors, queries)
@@ -111,7 +114,6 @@ def _answer(rows: pa.Table, asked: pa.Table, k: int) -> pa.Table:
             query_ids += [own] * len(best)
             vec_ids += [x for _, x in best]
             scores += [int(s) for s, _ in best]
-    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
     return pa.Table.from_pydict({"query_id": query_ids, "vec_id": vec_ids, "score": scores}, kinds)
 
 
