@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import checkpointed, if_small
+
 #: Places of a window; a filter looks up to MARGIN bytes further.
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -229,8 +231,9 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, cuts: int
     the number of languages. The counts by language cover all rows.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count()
+    counts = checkpointed(known.groupBy("lang").count())
     share = counts.select(F.col("lang").alias("of"), (docs_per_language / F.col("count")).alias("share"))
+    share = if_small(share, counts.count())  # one row a language; else all texts of one meet in a task
     size = F.length("text")
     last = F.greatest(size - CUT_CHARS, F.lit(0))
     starts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(cuts - 1)), lambda i: F.floor(last * i / max(1, cuts - 1))))
