@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from llm_tables import clashing, documents  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

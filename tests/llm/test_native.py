@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from llm_tables import clashing, documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from headway.llm.license_rules import RULES, Rule

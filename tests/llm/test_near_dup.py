@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from llm_tables import clashing, documents  # noqa: F401
 
 from headway.llm import near_dup
 from headway.llm.components import stars

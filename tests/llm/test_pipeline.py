@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from llm_tables import clashing, documents  # noqa: F401
 
 import corpus_pipeline
 from checks.compare import difference, oracle_connection
