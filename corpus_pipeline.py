@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The largest sample that has the tempered shares of tokens by source, language and topic."""
+    """Two thirds of the tokens, by the tempered shares of source, language and topic as far as these have so many."""
     return mixture(docs)
 
 

@@ -26,7 +26,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(table(spark, sf_dir, "documents"))
+    # as its SQL has it: the rarest cell decides the size
+    return mixed(table(spark, sf_dir, "documents"), share=None)
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,37 @@
+"""The size of a mixture does not hang on its rarest cell."""
+
+from collections import Counter
+
+import pytest
+from llm_tables import documents  # noqa: F401
+from test_native import corpus
+
+from headway.llm.mixing import SHARE, mixed
+
+
+def kept(rows):
+    return sum(r.n_tokens * r.probability for r in rows) / sum(r.n_tokens for r in rows)
+
+
+def test_one_rare_document_changes_little(documents):
+    rows = corpus(3000)
+    before = mixed(documents(rows)).collect()
+    after = mixed(documents([*rows, (3000, "five words of a stray", "xx", "stray"), (3001, "one more without names", None, None)])).collect()
+    assert kept(before) == pytest.approx(SHARE, rel=1e-6) and kept(after) == pytest.approx(SHARE, rel=1e-6)
+    was = {r.doc_id: r.probability for r in before}
+    now = {r.doc_id: r.probability for r in after}
+    assert now[3000] == 1
+    assert max(abs(now[d] - p) for d, p in was.items()) < 0.02
+    assert sum(r.sampled for r in after) == pytest.approx(sum(r.sampled for r in before), rel=0.02)
+
+
+def test_rare_values_are_whole_and_the_rest_keeps_its_shares(documents):
+    rows = [(i, "w " * 10, "en", "abc"[i % 3] if i % 50 else "rare") for i in range(6000)]
+    got = mixed(documents(rows), temper={"source": 0.2, "lang": 1.0, "topic": 1.0}, tokens=30000).collect()
+    drawn = Counter()
+    for r in got:
+        drawn[r.source] += r.n_tokens * r.probability
+    assert {r.probability for r in got if r.source == "rare"} == {1.0}
+    assert sum(drawn.values()) == pytest.approx(30000, rel=1e-6)
+    assert drawn["a"] == pytest.approx(drawn["b"], rel=0.02)
+    assert kept(mixed(documents(rows), tokens=1e9).collect()) == 1
