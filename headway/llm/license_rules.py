@@ -1,20 +1,22 @@
 """Signatures of licences over normalized words (lower case, single spaces).
 
-LICENCES: label; words that must occur before any pattern of the label is tried; names as a pattern. Each name makes a
-rule for a grant ("licensed under ..."), and one for the name alone. TEXTS: sentences of licence texts and
-headers. TAGS are the words of machine-readable identifiers.
+LICENCES: label; words that tell the label; names as a pattern. Each name makes a rule for a grant ("licensed under
+..."), and one for the name alone. TEXTS: sentences of licence texts and headers. TAGS are the words of machine-readable
+identifiers.
+
+A rule is tried only where its keyword occurs. keywords() takes for that what no match of the pattern is without: the words
+given here where that holds for them, and otherwise words of the pattern.
 """
 
 from __future__ import annotations
 
+from re import _constants as kinds
+from re import _parser as parser
 from typing import NamedTuple
 
-#: A document is searched only if it holds one of these.
-ANCHORS = ("licen", "copyright", "spdx", "public domain", "permission", "redistribut", "warrant", "copyleft", "all rights")
-
 LICENCES = (
-    ("mit", "mit", r"mit(?: x11| expat)? licen[cs]e"),
-    ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?|mit 0 licen[cs]e"),
+    ("mit", "mit licen|mit x11|mit expat", r"mit(?: x11| expat)? licen[cs]e"),
+    ("mit-0", "mit no attribution|mit 0", r"mit no attribution(?: licen[cs]e)?|mit 0 licen[cs]e"),
     ("x11", "x11", r"x11 licen[cs]e"),
     ("expat", "expat", r"expat licen[cs]e"),
     ("isc", "isc", r"isc licen[cs]e"),
@@ -169,7 +171,7 @@ TEXTS = (
     ("cc0-1.0", 1, "cc0", r"dedicated to the public domain under (?:the )?cc0(?: 1 0)?(?: universal)?"),
     ("creative-commons", 3, "creativecommons", r"(?:http|https) (?:www )?creativecommons org licenses [a-z ]{2,9} \d \d"),
     ("wtfpl", 1, "want to", r"you just do what the fuck you want to"),
-    ("beerware", 1, "beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    ("beerware", 1, "buy me a beer", r"if we meet some day and you think this stuff is worth it you can buy me a beer"),
     ("openssl", 1, "openssl", r"this product includes software developed by the openssl project"),
     ("php-3.01", 1, "php", r"this product includes php software freely available from"),
     ("ofl-1.1", 1, "font software", r"this font software is licensed under the sil open font licen[cs]e version 1 1"),
@@ -204,15 +206,55 @@ class Rule(NamedTuple):
     pattern: str
 
 
+#: Between the parts of a text whose place in it isn't fixed.
+_GAP = "\x00"
+
+
+def variants(parsed) -> list[str]:
+    """The texts that a parsed pattern stands for: every choice and option taken apart, _GAP for whatever varies else."""
+    texts = [""]
+    for kind, value in parsed:
+        if kind is kinds.LITERAL:
+            more = [chr(value)]
+        elif kind is kinds.SUBPATTERN:
+            more = variants(value[3])
+        elif kind is kinds.BRANCH:
+            more = [text for branch in value[1] for text in variants(branch)]
+        elif kind is kinds.MAX_REPEAT and value[:2] == (0, 1):
+            more = ["", *variants(value[2])]
+        else:
+            more = [_GAP]
+        texts = [text + end for text in texts for end in more]
+    return texts
+
+
+def keywords(given: str, pattern: str) -> list[str]:
+    """Words of which every match of the pattern, between spaces, holds one: those in `given` (separated by |), as whole
+    words if they can be, for the variants that hold them, and the longest fixed part of each other variant."""
+    texts = [f" {text} " for text in variants(parser.parse(pattern))]
+    found = []
+    for word in given.split("|"):
+        held = [text for text in texts if word in text]
+        if held:
+            found.append(next(k for k in (f" {word} ", f" {word}", word) if all(k in text for text in held)))
+            texts = [text for text in texts if word not in text]
+    rest = {max(text.split(_GAP), key=len) for text in texts}
+    return found + sorted(k for k in rest if not any(o in k for o in rest if o != k))
+
+
 def _rules() -> list[Rule]:
-    rules = [Rule(label, 1, 1.0, "spdx", rf"spdx license identifier {words}") for label, words in TAGS]
-    rules += [Rule(label, 1, 1.0 - 0.1 * (priority - 1), keyword, p) for label, priority, keyword, p in TEXTS if priority == 1]
-    for label, keywords, names in LICENCES:
-        rules += [Rule(label, 1, 0.95, keyword, f"{_GRANT}(?:{names})") for keyword in keywords.split("|")]
-    rules += [Rule(label, 2, 0.85, keyword, p) for label, priority, keyword, p in TEXTS if priority == 2]
-    for label, keywords, names in LICENCES:
-        rules += [Rule(label, 2, 0.75, keyword, f"(?:{names})") for keyword in keywords.split("|")]
-    rules += [Rule(label, 3, 0.5, keyword, p) for label, priority, keyword, p in TEXTS if priority == 3]
+    def rule(label: str, priority: int, confidence: float, given: str, words: str, pattern: str) -> list[Rule]:
+        return [Rule(label, priority, confidence, keyword, pattern) for keyword in keywords(given, words)]
+
+    tags = [(label, f"spdx license identifier {words}") for label, words in TAGS]
+    rules = [r for label, p in tags for r in rule(label, 1, 1.0, "spdx", p, p)]
+    rules += [r for label, priority, given, p in TEXTS if priority == 1 for r in rule(label, 1, 1.0, given, p, p)]
+    for label, given, names in LICENCES:
+        rules += rule(label, 1, 0.95, given, names, f"{_GRANT}(?:{names})")
+    rules += [r for label, priority, given, p in TEXTS if priority == 2 for r in rule(label, 2, 0.85, given, p, p)]
+    for label, given, names in LICENCES:
+        rules += rule(label, 2, 0.75, given, names, f"(?:{names})")
+    rules += [r for label, priority, given, p in TEXTS if priority == 3 for r in rule(label, 3, 0.5, given, p, p)]
     return rules
 
 

@@ -1,20 +1,22 @@
 """Licence scan by ordered signature rules, with DataFrame operations alone.
 
-A text becomes its words between single spaces. Documents without any anchor are passed over; in the others a rule is
-tried if its keyword occurs. A detection is an interval of words; one that lies within the interval of a detection of the
+A text becomes its words between single spaces. Documents without any rule's keyword are passed over; in the others a rule
+is tried if its keyword occurs. A detection is an interval of words; one that lies within the interval of a detection of the
 same or a better priority is dropped, so the most exact signature names the licence. Phrases of the base always
 count. Everything stays in its row: no shuffle, whatever the length of texts or lists of detections.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import lower_ascii
-from headway.llm.license_rules import ANCHORS, PRIORITIES, RULES, Rule
+from headway.llm.license_rules import PRIORITIES, RULES, Rule
 
 #: Phrases that always count, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -67,6 +69,19 @@ def _literal(rules: tuple[Rule, ...]) -> Column:
     )
 
 
+def any_keyword(rules: tuple[Rule, ...]) -> str:
+    """A pattern of all keywords of the rules, by their first two characters, so that few are tried at a place."""
+    ends = defaultdict(lambda: defaultdict(set))
+    for keyword in {r.keyword for r in rules}:
+        ends[keyword[:1]][keyword[1:2]].add(re.escape(keyword[2:]))
+    choice = lambda parts: "(?:" + "|".join(parts) + ")"
+    seconds = {
+        first: choice(re.escape(second) + choice(sorted(rest)) for second, rest in sorted(group.items()))
+        for first, group in sorted(ends.items())
+    }
+    return "|".join(re.escape(first) + rest for first, rest in seconds.items())
+
+
 def detections(padded: Column, rules: tuple[Rule, ...]) -> Column:
     """All places of the rules whose keyword occurs, in the order of their first words, longer ones first, and better
     priorities first where these are equal."""
@@ -124,7 +139,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     rows = docs.select("doc_id", normalized(F.col("text")).alias("padded"))
     padded = F.col("padded")
-    anchored = reduce(lambda a, b: a | b, [F.contains(padded, F.lit(a)) for a in ANCHORS])
+    anchored = padded.rlike(any_keyword(rules)) if rules else F.lit(False)
     licensed = F.contains(padded, F.lit(" license "))
     none = F.array().cast("array<struct<first:int,last:int>>")
     rows = rows.select(
