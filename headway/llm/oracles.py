@@ -121,9 +121,98 @@ SELECT page_id, url, strftime(c.day, '%Y-%m-%d') AS fetched_on, c.host, coalesce
 FROM captures c LEFT JOIN best b ON c.host = b.host AND c.day = b.day
 """
 
+FILTER_AUDIT = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), firsts AS (
+    SELECT t, min(doc_id) AS first FROM texts GROUP BY t
+), worded AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts JOIN firsts USING (t)
+), marked AS (
+    SELECT part, doc_id, (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > first THEN 16 ELSE 0 END)::INTEGER AS mask FROM worded
+), rated AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+    FROM marked LEFT JOIN rated USING (doc_id) GROUP BY part, mask
+), bits AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM bits a, bits b, bits c, bits d, bits e
+    WHERE len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+    SELECT filter_order, k AS step, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0)::INTEGER AS before
+    FROM orders, (SELECT unnest(range(1, 6)) AS k)
+), counted AS (
+    SELECT part, filter_order, step, bit,
+        coalesce(sum(n) FILTER (WHERE mask & (before + bit) = 0), 0) AS kept,
+        coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0) AS removed,
+        coalesce(sum(n) FILTER (WHERE mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+        coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+    redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+    toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+
+
+def _codes(rounds: int = 6) -> str:
+    steps = [
+        """kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), seeds AS (
+    SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT vec_id, min(v) AS v FROM kept WHERE vec_id IS NOT NULL GROUP BY vec_id)
+    QUALIFY row_number() OVER (ORDER BY vec_id) <= 16
+), cut AS MATERIALIZED (
+    SELECT row, part, v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8] AS x FROM kept, (SELECT unnest(range(8)) AS part)
+), book0 AS MATERIALIZED (
+    SELECT part, entry, v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8] AS y FROM seeds, (SELECT unnest(range(8)) AS part)
+)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""near{k} AS MATERIALIZED (
+    SELECT row, part, x, entry, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))::BIGINT AS away
+    FROM cut JOIN book{k} USING (part)
+    QUALIFY row_number() OVER (PARTITION BY row, part ORDER BY away, entry) = 1
+)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""mean{k} AS (
+    SELECT part, entry, i, sum(xi)::BIGINT AS s, count(*)::BIGINT AS n
+    FROM (SELECT part, entry, unnest(x) AS xi, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY part, entry, i
+), book{k + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m.y, b.y) AS y FROM book{k} b LEFT JOIN (
+        SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS y FROM mean{k} GROUP BY part, entry
+    ) m USING (part, entry)
+)"""
+            )
+    return f"""WITH {", ".join(steps)}, named AS (
+    SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+), coded AS (
+    SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(away)::BIGINT AS error FROM near{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), named"""
+
+
 ORACLES = {
     "op1_mixed_sources": _mixing(),
     "op6_url_lists": URL_LISTS,
     "op8_exact_top_k": TOP_K,
     "op10_minhash_near_dedup": NEAR_DUP,
+    "op12_vector_codes": _codes(),
+    "op13_filter_interactions": FILTER_AUDIT,
 }

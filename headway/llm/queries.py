@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.bpe import encode_documents
 from headway.llm.common import table
+from headway.llm.filter_audit import audit
 from headway.llm.graph_search import nearest
 from headway.llm.html_text import extract
 from headway.llm.kd_search import exact_top_k
@@ -20,6 +21,7 @@ from headway.llm.mixing import mixed
 from headway.llm.near_dup import near_duplicates
 from headway.llm.token_files import token_files
 from headway.llm.url_lists import host_of, judged
+from headway.llm.vector_codes import compressed
 
 #: The public vocabulary that the token queries use.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -100,6 +102,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = (
     op1_mixed_sources,
     op2_main_text,
@@ -111,6 +121,8 @@ QUERIES = (
     op8_exact_top_k,
     op9_license_rules,
     op10_minhash_near_dedup,
+    op12_vector_codes,
+    op13_filter_interactions,
 )
 
 
