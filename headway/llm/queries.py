@@ -19,12 +19,14 @@ from headway.llm.language import identify_languages
 from headway.llm.licenses import scan
 from headway.llm.mixing import mixed
 from headway.llm.near_dup import near_duplicates
+from headway.llm.token_counts import token_counts
 from headway.llm.token_files import token_files
 from headway.llm.url_lists import host_of, judged
 from headway.llm.vector_codes import compressed
 
-#: The public vocabulary that the token queries use.
+#: The public vocabularies that the token queries use.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +104,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, limit=512)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed(table(spark, sf_dir, "embeddings"))[0]
 
@@ -121,6 +127,7 @@ QUERIES = (
     op8_exact_top_k,
     op9_license_rules,
     op10_minhash_near_dedup,
+    op11_token_counts,
     op12_vector_codes,
     op13_filter_interactions,
 )
