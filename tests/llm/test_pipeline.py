@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables no
 
 def test_all_are_registered():
     names = llm_queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in names and set(ORACLES) <= set(names)
 
 

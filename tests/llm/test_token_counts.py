@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_tables import clashing, documents  # noqa: F401
+
+from headway.llm.memory import ENTRY, Memory
+from headway.llm.token_counts import CHUNK, ByteBpe, token_counts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = ["a", "the", "TION", "'s", "'re", "'", "’", " ", "  ", "\n", "\t ", " \n", "é", "漢字", "😀", "1", "23", "!", "..", "_", "don't", "a" * 32]
+PARTS += ["<|endoftext|>", " <|endoftext|>", "<|", "endoftext|>", "\x1c", "\x85", "\xa0", " "]
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return ByteBpe(PATH)
+
+
+@pytest.fixture(scope="module")
+def small():
+    return ByteBpe(PATH, chunk=64, overlap=8, room=20 * ENTRY)
+
+
+def texts(n, seed):
+    rng = random.Random(seed)
+    for _ in range(n):
+        some = [rng.choice(PARTS) if rng.random() < 0.9 else chr(rng.choice((rng.randint(1, 0xD7FF), rng.randint(0xE000, 0x1FFFF)))) for _ in range(rng.randint(0, 200))]
+        yield "".join(some)
+
+
+def library_ids(bpe, text):
+    return bpe.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_spliced_ids_are_the_librarys(small, whole):
+    for text in texts(800, 1):
+        want = library_ids(whole, text)
+        assert np.concatenate([np.empty(0, np.uint32), *small.spliced(text)]).tolist() == want, ascii(text)
+        assert small.counts([text])[0][0] == whole.counts([text])[0][0] == len(want), ascii(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 1500, " " * 3000, "the " * 700, "!" * 2000, "<|endoftext|>" * 200, " \n" * 900])
+def test_overlaps_widen_where_nothing_is_common(small, whole, text):
+    assert np.concatenate(list(small.spliced(text))).tolist() == library_ids(whole, text)
+
+
+def test_one_word_takes_few_chunks(whole):
+    sizes = [len(x) for x in whole.spliced("a" * (6 * CHUNK))]
+    assert sum(sizes) == len(library_ids(whole, "a" * (6 * CHUNK))) and len(sizes) <= 5  # chunks grow with the word
+
+
+def test_memory_forgets_what_comes_once():
+    memory = Memory(4 * (ENTRY + 1) * 10)
+    asked = []
+    for i in range(100):
+        known = memory.learn(["often", f"once {i}"], lambda keys: [asked.append(k) or len(k) for k in keys])
+        assert known["often"] == 5 and known[f"once {i}"] == len(f"once {i}")
+        assert len(memory.young) + len(memory.old) <= 50
+    assert asked.count("often") == 1
+
+
+def test_rows(spark, documents, clashing, whole):
+    rows = [(1, None), (2, ""), (3, "One two."), (3, "One two."), (None, "x " * 300), (4, "a <|endoftext|> b"), (5, "word " * 40000), (6, "x " * 512), (7, "é漢😀" * 400)]
+    got = sorted(map(tuple, token_counts(clashing(documents(rows)).repartition(3), PATH).drop("n_chunks").collect()), key=repr)
+    want = [(d, len((t or "").encode()), n := len(library_ids(whole, t or "")), n > 512) for d, t in rows]
+    assert got == sorted(want, key=repr)
+    assert token_counts(documents([]), PATH).collect() == []
+    chunks = {r.doc_id: r.n_chunks for r in token_counts(documents(rows), PATH).collect()}
+    assert chunks[1] == 0 and chunks[2] == 0 and chunks[4] == 1 and chunks[5] > 2
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        ByteBpe(public_tokenizers.path("word_bpe_49k.json"))
