@@ -137,6 +137,43 @@ def file_ingest(t: Transit) -> DataFrame:
     return _per_day(realtime.read_snapshots(t.spark, bronze, schemas.TRIP_UPDATES))
 
 
+def _land_as(t: Transit, landing: str, some: Column, delay: Column) -> None:
+    """Snapshots whose delays have the given type, as a writer that guesses it."""
+    rows = t.bronze_updates.filter(some).withColumn("arrival_delay_seconds", delay)
+    rows.write.mode("append").partitionBy("dt").parquet(landing)
+
+
+def _put(t: Transit, path: str, content: bytes) -> None:
+    """Write a file that no writer of Spark's would, where Spark reads."""
+    jvm, conf = t.spark._jvm, t.spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(conf).create(place)
+    out.write(bytearray(content))
+    out.close()
+
+
+@query
+def mixed_type_ingest(t: Transit) -> DataFrame:
+    """Half the days land as doubles, whole numbers and without any type, next to files that are damaged; the rest later."""
+    landing, bronze, log = (scratch_dir(t.spark, p) for p in ("landing", "bronze", "log"))
+    delay = F.col("arrival_delay_seconds")
+    load = lambda: ingest.ingest_files(t.spark, landing, bronze, log, schemas.TRIP_UPDATES).awaitTermination()
+    _land_as(t, landing, _early() & delay.isNull(), F.lit(None).cast("string"))  # strings for double: quarantined
+    load()
+    _land_as(t, landing, _early() & (delay < 0), delay.cast("bigint"))
+    _land_as(t, landing, _early() & (delay >= 0), delay)
+    _land_as(t, landing, _early() & delay.isNull(), delay.cast("int"))
+    _put(t, f"{landing}/dt=2024-01-01/damaged.parquet", b"PAR1 and nothing more")
+    load()
+    _land_as(t, landing, ~_early(), delay)
+    load()
+    days = _per_day(realtime.read_snapshots(t.spark, bronze, schemas.TRIP_UPDATES))
+    problem = F.col("problem")
+    wrong, damaged = problem.startswith("arrival_delay_seconds: string"), problem.startswith("no Parquet footer")
+    bad = ingest.read_quarantine(t.spark, bronze).agg((F.count_if(wrong) > 0) & (F.count_if(damaged) == 1))
+    return days.withColumn("bad_files_listed", bad.scalar())
+
+
 @query
 def batch_file_append(t: Transit) -> DataFrame:
     """Batch load of half the days, then the rest, then nothing new."""

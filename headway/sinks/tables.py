@@ -22,13 +22,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+def replace_partitions(df: DataFrame, path: str, *partition: str) -> None:
     """Replace the partitions `df` has rows in and leave the others."""
     (
-        df.hint("rebalance", partition)
+        df.hint("rebalance", *partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
+        .partitionBy(*partition)
         .parquet(path)
     )
 
