@@ -6,6 +6,7 @@ Queries that write use fresh scratch folders and return what a reader of the wri
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,6 +144,21 @@ def _land_as(t: Transit, landing: str, some: Column, delay: Column) -> None:
     rows.write.mode("append").partitionBy("dt").parquet(landing)
 
 
+@query
+def load_row_counts(t: Transit) -> DataFrame:
+    """Rows of two loads of each feed, as counted while they were written, and whether the tables hold as many."""
+    w = jobs.Warehouse(t.spark, scratch_dir(t.spark, "warehouse"))
+    landing = scratch_dir(t.spark, "landing")
+    for days in (_early(), ~_early()):
+        for feed, rows in (("gtfs_rt_trip_updates", t.bronze_updates), ("gtfs_service_alerts", t.bronze_alerts)):
+            tables.append_snapshot(rows.filter(days).drop("dt"), f"{landing}/{feed}", jobs.FEEDS[feed][0])
+        jobs.load_feeds(w, landing)
+    counts = jobs.loaded_rows(w)
+    stored = [w.feed(feed).select(F.lit(feed).alias("feed")) for feed in jobs.FEEDS]
+    held = reduce(DataFrame.unionByName, stored).groupBy("feed").agg(F.count(F.lit(1)).alias("held"))
+    return counts.join(held, "feed").select("feed", "rows", (F.col("rows") == F.col("held")).alias("agree"))
+
+
 def _put(t: Transit, path: str, content: bytes) -> None:
     """Write a file that no writer of Spark's would, where Spark reads."""
     jvm, conf = t.spark._jvm, t.spark._jsc.hadoopConfiguration()

@@ -424,6 +424,8 @@ ORACLES |= {
          CAST(sum(l_orderkey) AS BIGINT) AS trip_sum, CAST(1 AS BIGINT) AS loads
        FROM lineitem GROUP BY l_returnflag""",
     "partitioned_scan": BASE + _PER_DAY + " GROUP BY 1",
+    "load_row_counts": """SELECT 'gtfs_rt_trip_updates' AS feed, count(*) AS rows, true AS agree FROM events
+       UNION ALL SELECT 'gtfs_service_alerts', 2 * count(*), true FROM events""",
     "mixed_type_ingest": BASE + _PER_DAY.replace("AS n", "AS n, true AS bad_files_listed", 1) + " GROUP BY 1",
     "file_ingest": BASE + _PER_DAY + " GROUP BY 1",
     "batch_file_append": BASE + _PER_DAY + " GROUP BY 1",

@@ -255,7 +255,7 @@ def version_aware_match(t: Transit) -> DataFrame:
         "_feed_version", F.concat("_feed_version", F.lit("01")).alias("valid_from")
     ).distinct()
     matched = silver.match_trips_by_version(
-        silver.latest_snapshot(t.updates), trip_versions, versions
+        silver.latest_snapshot(t.updates), trip_versions, versions, silver.service_dates(t.updates)
     )
     return matched.select(
         "trip_id",

@@ -17,6 +17,7 @@ import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from headway.sinks.ledger import Ledger, ensure_exists
 from headway.sinks.tables import append_snapshot, export_csv, replace_partitions, write_table
 from headway.sinks.upsert import LATEST_WINS, UpsertTable, refreshed_orphans
 from headway.sources import realtime, static
-from headway.streaming.ingest import ingest_files, upsert_files
+from headway.streaming.ingest import ingest_files, read_loads, read_quarantine, upsert_files
 
 FEEDS = {
     "gtfs_rt_trip_updates": (schemas.TRIP_UPDATES, schemas.TRIP_UPDATE_MESSAGE, flatten_trip_updates),
@@ -144,19 +145,36 @@ def load_bronze(
 ) -> dict[str, dict[str, int]]:
     """Load new timetable versions and new realtime files, `max_files` of them per micro-batch. Returns rows
     per new timetable version."""
-    root = landing.rstrip("/")
-    loaded = static.load_static(w.spark, f"{root}/gtfs_static", w.bronze)
+    loaded = static.load_static(w.spark, f"{landing.rstrip('/')}/gtfs_static", w.bronze)
+    load_feeds(w, landing, max_files=max_files)
+    return loaded
+
+
+def load_feeds(w: Warehouse, landing: str, *, max_files: int | None = None) -> None:
+    """Load the realtime files that landed since the last time."""
     for feed, (schema, _, _) in FEEDS.items():
         with nothing_landed_is_fine():
             ingest_files(
                 w.spark,
-                f"{root}/{feed}",
+                f"{landing.rstrip('/')}/{feed}",
                 f"{w.bronze}/{feed}",
                 w.checkpoint(feed),
                 schema,
                 max_files=max_files,
             ).awaitTermination()
-    return loaded
+
+
+def loaded_rows(w: Warehouse) -> DataFrame:
+    """(feed, loads, files, rows) over all loads so far, from what each load counted as it wrote; no table is read."""
+    loads = [read_loads(w.spark, f"{w.bronze}/{feed}").withColumn("feed", F.lit(feed)) for feed in FEEDS]
+    totals = [F.count(F.lit(1)).alias("loads"), F.sum("files").alias("files"), F.sum("rows").alias("rows")]
+    return reduce(DataFrame.unionByName, loads).groupBy("feed").agg(*totals)
+
+
+def quarantined_files(w: Warehouse) -> DataFrame:
+    """(feed, path, problem) of the landed files that no load could take."""
+    bad = [read_quarantine(w.spark, f"{w.bronze}/{feed}").withColumn("feed", F.lit(feed)) for feed in FEEDS]
+    return reduce(DataFrame.unionByName, bad).select("feed", "path", "problem")
 
 
 def update_fact(w: Warehouse, *, mode: str = LATEST_WINS, max_files: int | None = None) -> None:

@@ -168,10 +168,21 @@ def interval_totals(
     )
 
 
+def _united(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, _lo, _hi): windows united where they overlap or touch, within the rows of `keys`."""
+    by_start = Window.partitionBy(*keys).orderBy("_lo", "_hi")
+    reached = F.max("_hi").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("_lo") > reached, F.lit(True)).cast("int")
+    so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    islands = windows.withColumn("_begins", begins).withColumn("_island", F.sum("_begins").over(so_far))
+    return islands.groupBy(*keys, "_island").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_island")
+
+
 def merged_windows(windows: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """(_key, _lo, _hi): windows with both ends, united per key where they overlap or touch.
 
-    Windows of one start are reduced to the longest before the sort, so a key's rows are its distinct starts.
+    Windows of one start are reduced to the longest, then those of one key that start on one day are united; only what
+    is left of each day meets in the order of the whole key.
     """
     longest = (
         windows.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
@@ -179,11 +190,8 @@ def merged_windows(windows: DataFrame, key: str, start: str, end: str) -> DataFr
         .agg(F.max(end).alias("_hi"))
         .filter(F.col("_key").isNotNull())
     )
-    by_start = Window.partitionBy("_key").orderBy("_lo")
-    reached = F.max("_hi").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.coalesce(F.col("_lo") > reached, F.lit(True)).cast("int")
-    islands = longest.withColumn("_begins", begins).withColumn("_island", F.sum("_begins").over(by_start))
-    return islands.groupBy("_key", "_island").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_island")
+    by_day = _united(longest.withColumn("_day", time_bucket(F.col("_lo"), DAY)), ["_key", "_day"])
+    return _united(by_day.drop("_day"), ["_key"])
 
 
 def _clipped_pieces(

@@ -11,10 +11,17 @@ from headway.functions.columns import pct
 from headway.operators.intervals import running_totals
 
 
-def magnitude_bucket(value: Column) -> Column:
+#: Buckets that rows of value zero are dealt over.
+ZERO_BUCKETS = 64
+
+
+def magnitude_bucket(value: Column, deal: Column | None = None) -> Column:
     """Larger values get smaller buckets; about six percent of the value wide, so a few hundred cover any
-    range of 64-bit totals. Values of zero and below share the last bucket."""
-    return F.when(value > 0, -F.floor(F.log2(value.cast("double")) * 12)).otherwise(1).cast("bigint")
+    range of 64-bit totals. Zeros come
+    last, dealt over ZERO_BUCKETS by the hash `deal`: among them the order changes no total."""
+    width = F.floor(F.log2(F.abs(value).cast("double")) * 12)
+    zeros = F.lit(1) if deal is None else 1 + F.pmod(deal, F.lit(ZERO_BUCKETS))
+    return F.when(value > 0, -width).when(value < 0, 1 + ZERO_BUCKETS + width).otherwise(zeros).cast("bigint")
 
 
 def cumulative_share(
@@ -26,7 +33,9 @@ def cumulative_share(
     Only one row per magnitude bucket passes through a single task.
     """
     ranked = df.select(
-        "*", F.col(value).alias("_running"), magnitude_bucket(F.col(value)).alias("_magnitude")
+        "*",
+        F.col(value).alias("_running"),
+        magnitude_bucket(F.col(value), F.xxhash64(*tie_break)).alias("_magnitude"),
     )
     running = running_totals(
         ranked,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway import constants as C
@@ -118,28 +118,52 @@ def silver_summary(silver: DataFrame) -> DataFrame:
     )
 
 
-def with_version_on_date(snapshot: DataFrame, versions: DataFrame) -> DataFrame:
-    """Add the timetable version in force on the service date (yyyyMMdd): the last one that began on or
-    before it, or the first version for earlier dates.
+def service_dates(updates: DataFrame) -> DataFrame:
+    """The service dates of the updates, told from two columns, before anything is deduplicated."""
+    return updates.select(fx.service_date(F.col("start_date"), F.col("feed_timestamp")).alias("service_date")).distinct()
 
-    `versions` has one row per timetable version (_feed_version, valid_from yyyyMMdd): a few a month.
+
+def versions_by_date(dates: DataFrame, versions: DataFrame) -> DataFrame:
+    """The timetable version in force on each of `dates` (service_date, distinct): the last one that began on or before it, of
+    several that began together the largest, or the first version for earlier dates and for none.
+
+    `versions` has rows (_feed_version, valid_from yyyyMMdd); those without valid_from are never in force. What is put in order
+    here are days, those on which a version began and those of service, so one task takes them all.
     """
-    history = versions.agg(F.sort_array(F.collect_list(F.struct("valid_from", "_feed_version"))))
-    begun = F.filter("_history", lambda v: v["valid_from"] <= F.col("service_date"))
-    in_force = F.coalesce(F.try_element_at(begun, F.lit(-1)), F.get("_history", F.lit(0)))
-    return (
-        snapshot.withColumn("_history", history.scalar())
-        .withColumn("_feed_version", in_force["_feed_version"])
-        .drop("_history")
-    )
+    begun = versions.filter("valid_from IS NOT NULL").groupBy(F.col("valid_from").alias("service_date"))
+    begun = begun.agg(F.max("_feed_version").alias("_feed_version"), F.min("_feed_version").alias("_least"))
+    days = begun.withColumn("_asked", F.lit(0)).unionByName(dates.select("service_date", F.lit(1).alias("_asked")), allowMissingColumns=True)
+    order = Window.orderBy("service_date", "_asked")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_force = F.coalesce(F.last("_feed_version", True).over(so_far), F.first("_least", True).over(everything))
+    return days.select("service_date", "_asked", in_force.alias("_feed_version")).filter("_asked = 1").drop("_asked")
+
+
+def with_version_on_date(
+    snapshot: DataFrame, versions: DataFrame, dates: DataFrame | None = None
+) -> DataFrame:
+    """Add the timetable version in force on the service date, looked up by equality in a table of days.
+
+    `dates` spares a second pass over the snapshot: all its service dates (service_date, distinct), and maybe more.
+    """
+    if dates is None:
+        dates = snapshot.select("service_date").distinct()
+    by_date = versions_by_date(dates, versions).withColumnRenamed("service_date", "_version_date")
+    same = F.col("service_date").eqNullSafe(F.col("_version_date"))
+    return snapshot.join(by_date, same, "left").drop("_version_date")
 
 
 def match_trips_by_version(
-    snapshot: DataFrame, trip_versions: DataFrame, versions: DataFrame, **delay_bounds: int
+    snapshot: DataFrame,
+    trip_versions: DataFrame,
+    versions: DataFrame,
+    dates: DataFrame | None = None,
+    **delay_bounds: int,
 ) -> DataFrame:
     """match_trips against the timetable version in force on the service date instead of the newest.
 
     `trip_versions` has one row per (_feed_version, trip_id).
     """
-    dated = with_version_on_date(snapshot, versions)
+    dated = with_version_on_date(snapshot, versions, dates)
     return match_trips(dated, trip_versions, on=("_feed_version", "trip_id"), **delay_bounds)

@@ -10,7 +10,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +24,7 @@ from headway.sources.footers import FILES, landed_types, read_as
 MAX_FILES = 5000
 #: How a failed write shows; inside a stream it comes as the JVM raised it.
 FAILURES = (PySparkException, Py4JJavaError)
+LOADS = "files long, rows long, load string"
 QUARANTINE = "path string, problem string, load string"
 
 
@@ -76,6 +77,15 @@ def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
     return read_or_empty(spark, quarantine_of(target), QUARANTINE)
 
 
+def _loads_of(target: str) -> str:
+    return f"{target.rstrip('/')}_loads"
+
+
+def read_loads(spark: SparkSession, target: str) -> DataFrame:
+    """(files, rows, load) of every batch that the table took, counted while it was written."""
+    return read_or_empty(spark, _loads_of(target), LOADS)
+
+
 def load_files(files: DataFrame, source: str, target: str, schema: T.StructType) -> None:
     """Write one batch of (path, content) into `target`: files are grouped by the types in their footers, each group is read
     as what it is, and all are cast to the declared types.
@@ -111,7 +121,11 @@ def load_files(files: DataFrame, source: str, target: str, schema: T.StructType)
 
     def write() -> None:
         if groups:
-            replace_partitions(rows(groups).withColumn("load", F.lit(load)), target, "load", "dt")
+            seen = Observation()
+            counted = rows(groups).observe(seen, F.count(F.lit(1)).alias("rows"))
+            replace_partitions(counted.withColumn("load", F.lit(load)), target, "load", "dt")
+            count = (sum(map(len, groups.values())), seen.get["rows"], load)
+            replace_partitions(spark.createDataFrame([count], LOADS), _loads_of(target), "load")
 
     with nanoseconds_as_numbers(spark):
         try:

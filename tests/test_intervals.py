@@ -153,3 +153,33 @@ def test_no_windows_and_no_points(spark):
     for p, w in ((empty_points, some_windows), (some_points, empty_windows)):
         assert interval_totals(p, w, group=["g"], measures={"s": F.col("v")}, **names).isEmpty()
     assert rows(flag_covered(some_points, empty_windows, name="open", **names).select("open")) == [(False,)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_are_united_as_by_one_scan(spark, seed):
+    """Windows within a day, over days, touching and nested, of one hot key and others."""
+    rng = random.Random(seed)
+    windows = []
+    for i in range(400):
+        begin = rng.randrange(0, 6 * 86400, rng.choice([1, 3600]))
+        windows.append(("hot" if i % 3 else f"k{i % 7}", begin, begin + rng.choice([0, 60, 3600, 90000, -5])))
+    df = spark.createDataFrame(windows, "k string, a bigint, b bigint").selectExpr("k", "timestamp_seconds(a) AS a", "timestamp_seconds(b) AS b")
+    got = merged_windows(df, "k", "a", "b").selectExpr("_key", "unix_seconds(_lo)", "unix_seconds(_hi)")
+    want = []
+    for key in {k for k, _, _ in windows}:
+        open_now = None
+        for a, b in sorted((a, b) for k, a, b in windows if k == key and a <= b):
+            if open_now and a <= open_now[1]:
+                open_now[1] = max(open_now[1], b)
+            else:
+                open_now = [a, b]
+                want.append((key, open_now))
+    assert rows(got) == sorted(((k, *w) for k, w in want), key=repr)
+
+
+def test_a_hot_keys_windows_meet_day_by_day(spark):
+    """Of a key with all windows, a day's are in one task, and one row per island and day is left for the key."""
+    df = spark.range(86400 * 3).selectExpr("concat('hot', id % 1) AS k", "timestamp_seconds(id) AS a", "timestamp_seconds(id + 1) AS b")
+    plan = merged_windows(df, "k", "a", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key" in plan and "_day" in plan
+    assert rows(merged_windows(df, "k", "a", "b").selectExpr("unix_seconds(_lo)", "unix_seconds(_hi)")) == [(0, 86400 * 3)]

@@ -67,3 +67,13 @@ def test_top_n(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(9)], "a int, b int")
     got = [tuple(r) for r in top_n(df, [F.col("a").asc(), F.col("b").desc()], 4).collect()]
     assert got == [(0, 6), (0, 3), (0, 0), (1, 7)]
+
+
+def test_zeros_are_spread_over_tasks(spark):
+    """A million of equal rows, which add nothing, are in no single task, and their running share is still the whole."""
+    zeros = spark.range(1_000_000).select(F.col("id").cast("string").alias("n"), F.lit(0).cast("bigint").alias("v"))
+    df = zeros.union(spark.createDataFrame([("a", 30), ("b", 10)], "n string, v bigint"))
+    buckets = df.groupBy(magnitude_bucket(F.col("v"), F.xxhash64("n")).alias("m")).count().collect()
+    assert max(r["count"] for r in buckets) < 20_000 and len(buckets) == 66
+    got = cumulative_share(df, "v", ["n"], "s", "r").groupBy("s", "r").count()
+    assert rows(got) == [(0.0, 100.0, 1_000_000), (25.0, 100.0, 1), (75.0, 75.0, 1)]

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import alerts_df, at, one, routes_df, rows, trips_df, update, updates_df
 from pyspark.sql import functions as F
 
@@ -174,3 +175,24 @@ def test_repeated_alert_captures_are_one_row_and_stop_alerts_are_left_out(spark)
     )
     got = star.fact_service_alerts(staging.service_alerts(alerts))
     assert rows(got.select("alert_id", "route_id")) == [("a1", "r1"), ("a1", "r2")]
+
+
+def test_version_ties_and_days_without_a_version(spark):
+    dates = spark.createDataFrame([("20260901",), ("20260905",), ("20260906",), ("20261231",), (None,)], "service_date string")
+    versions = [("v2", "20260905"), ("v1", "20260905"), ("v9", None), ("v3", "20261001"), ("v3", "20261001")]
+    got = silver.versions_by_date(dates, spark.createDataFrame(versions, "_feed_version string, valid_from string"))
+    want = [("20260901", "v1"), ("20260905", "v2"), ("20260906", "v2"), ("20261231", "v3"), (None, "v1")]
+    assert rows(got) == sorted(want, key=repr)
+    none = silver.versions_by_date(dates, spark.createDataFrame([], "_feed_version string, valid_from string"))
+    assert {r[1] for r in none.collect()} == {None}
+
+
+@pytest.mark.parametrize("count", [2, 2000])
+def test_version_lookup_costs_the_same_for_any_number_of_versions(spark, count):
+    """No array of versions beside each row, no comparison of rows with versions: an equi join with a table of days."""
+    snapshot = silver.latest_snapshot(updates_df(spark, *[{"start_date": d} for d in ("20260901", "20260910")]))
+    versions = spark.range(count).selectExpr("concat('v', lpad(id, 5, '0')) AS _feed_version", "cast(20000000 + id AS string) AS valid_from")
+    found = silver.with_version_on_date(snapshot, versions, silver.service_dates(updates_df(spark, {"start_date": "20260901"}, {"start_date": "20260910"})))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert rows(found.select("_feed_version")) == [(f"v{count - 1:05}",)] * 2
