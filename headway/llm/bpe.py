@@ -14,21 +14,27 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from string import ascii_letters
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Runs and words remembered by a Python worker, some 150 bytes each; when full, the memory starts over.
-MEMORY = 600_000
-#: Longer words are encoded each time they come.
-LONGEST_REMEMBERED = 64
-#: Rows handled at once.
-SLICE = 256
+from headway.llm.memory import Memory, slices
+
+#: Bytes of runs and words remembered by a Python worker, over both.
+ROOM = 112 << 20
+#: Pairs of symbols whose compatibility is remembered, in a table of so many places: a power of two.
+PAIR_PLACES = 1 << 18
+#: Bytes of texts handled at once, or one longer text.
+TOGETHER = 1 << 20
 #: Ids decoded at once.
 DECODED_AT_ONCE = 1 << 18
 
@@ -38,22 +44,6 @@ NOT_SPACES = "\x1c\x1d\x1e\x1f"
 _LATE = 1 << 60
 
 
-class Memory(dict):
-    """Results by key, made where missing; bounded by starting over."""
-
-    def __init__(self, make: Callable, most: int = MEMORY):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
-        return value
-
-
 def runs(text: str) -> list[str]:
     """The pieces between white space. Where Python splits at characters that the tokenizer doesn't take for white
     space, the text is one piece."""
@@ -81,7 +71,7 @@ class Merges:
             raise ValueError("a merge uses a token that is made later")
         self.merge = {p: i for i, p in enumerate(self.parts) if i >= self.single}
         self.left, self.right = self._spines(0), self._spines(1)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs = array("q", [-1]) * PAIR_PLACES  # the pair last asked for at each place, and the answer
         whole = [True] * self.single
         for i in range(self.single, len(names)):
             a, b = self.parts[i]
@@ -133,12 +123,12 @@ class Merges:
                 j += 1
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= 4 * MEMORY:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self._meet(a, b)
-        return known
+        pair = a << 32 | b << 1
+        place = (a * 0x9E3779B1 ^ b * 0x85EBCA6B) >> 5 & PAIR_PLACES - 1
+        known = self.pairs[place]
+        if known >> 1 != pair >> 1:
+            known = self.pairs[place] = pair | self._meet(a, b)
+        return bool(known & 1)
 
     def encode(self, word: str) -> list[int]:
         """The ids of one word, spelled in the byte alphabet."""
@@ -174,7 +164,7 @@ class WordBpe:
     """Encodes and decodes as the tokenizer file asks for. Its normalizer and word splitter are the library's; merging
     and decoding are done here."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = ROOM):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -184,27 +174,42 @@ class WordBpe:
         self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.between = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
-        self.known_words = Memory(lambda word: np.asarray(self.merges.encode(word), "<u4").tobytes())
-        self.known_runs = Memory(self._run)
+        self.words, self.runs = Memory(room // 2), Memory(room // 2)
+        self.lowers = self._plain(ascii_letters) == [ascii_letters.lower()]
         names = {i: t for t, i in [*spec["model"]["vocab"].items(), *self.special.items()]}
         pieces = [names[i].encode() + b" " for i in range(len(names))]
         self.offsets = np.cumsum([0, *map(len, pieces)])
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
-    def _run(self, run: str) -> bytes:
-        """Names of special tokens are these tokens; they stand before anything is normalized."""
+    def _plain(self, run: str) -> list[str]:
+        return [word for word, _ in self.split(self.normalize(run))] if run else []
+
+    def _parts(self, run: str) -> list[str | bytes]:
+        """The words of a run, and the ids of the special tokens that it names; these stand before anything is normalized."""
+        if self.lowers and run.isascii() and run.isalpha():
+            return [run.lower()]  # as the normalizer and the splitter would
         out, at = [], 0
         for found in self.between.finditer(run):
-            out += self._plain(run[at : found.start()]), np.uint32(self.special[found[0]]).astype("<u4").tobytes()
+            out += [*self._plain(run[at : found.start()]), np.uint32(self.special[found[0]]).astype("<u4").tobytes()]
             at = found.end()
-        return b"".join([*out, self._plain(run[at:])])
+        return [*out, *self._plain(run[at:])]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        return [np.asarray(self.merges.encode(word), "<u4").tobytes() for word in words]
+
+    def _runs(self, runs: list[str]) -> Iterator[bytes]:
+        parted = [self._parts(run) for run in runs]
+        words = self.words.learn((x for parts in parted for x in parts if isinstance(x, str)), self._words)
+        return (b"".join([words[x] if isinstance(x, str) else x for x in parts]) for parts in parted)
 
-    def _plain(self, run: str) -> bytes:
-        return b"".join([self.known_words[word] for word, _ in self.split(self.normalize(run))]) if run else b""
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; what is new in all of them is worked out together."""
+        cut = [runs(text) for text in texts]
+        known = self.runs.learn(chain.from_iterable(cut), self._runs)
+        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.known_runs.__getitem__, runs(text)))
+        return self.encode_all([text])[0]
 
     def decoded(self, ids: np.ndarray) -> Iterator[bytes]:
         """The decoded UTF-8 text of ids, in parts: token names between spaces."""
@@ -232,11 +237,14 @@ OUTPUTS = {
 }
 
 
+def text_sizes(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+
 def _coded(batch: pa.RecordBatch, path: str, text: str, outputs: tuple[str, ...]) -> pa.RecordBatch:
     bpe = word_bpe(path)
     made: dict[str, list] = {name: [] for name in outputs}
-    for value in batch.column(text).to_pylist():
-        raw = bpe.encode(value or "")
+    for raw in bpe.encode_all([value or "" for value in batch.column(text).to_pylist()]):
         ids = np.frombuffer(raw, "<u4").astype(np.int64)
         if "n_tokens" in made:
             made["n_tokens"].append(len(ids))
@@ -276,7 +284,7 @@ def encode_documents(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, SLICE):
-                yield _coded(batch.slice(k, SLICE), path, text, outputs)
+            for rows in slices(text_sizes(batch.column(text)), TOGETHER):
+                yield _coded(batch.slice(rows.start, rows.stop - rows.start), path, text, outputs)
 
     return docs.select(*keep, text).mapInArrow(code, T.StructType(fields))

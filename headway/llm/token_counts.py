@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.memory import Memory
+from headway.llm.memory import Memory, slices
 
-#: Characters of a chunk, of an overlap at first, and of texts handled at once.
+#: Characters of a chunk and of an overlap at first; bytes of texts handled at once.
 CHUNK, OVERLAP, TOGETHER = 1 << 16, 256, 1 << 20
 #: Bytes of remembered counts, a Python worker.
-ROOM = 32 << 20
+ROOM = 64 << 20
 #: Pieces asked for as one text.
 ASKED = 512
 #: Characters that the word pattern looks at beyond a word's end.
@@ -135,18 +135,6 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _slices(sizes: list[int]) -> Iterator[slice]:
-    """Runs of rows with some TOGETHER characters at most, or one longer row."""
-    begin = held = 0
-    for i, size in enumerate(sizes):
-        if i > begin and held + size > TOGETHER:
-            yield slice(begin, i)
-            begin, held = i, 0
-        held += size
-    if sizes:
-        yield slice(begin, len(sizes))
-
-
 def token_counts(docs: DataFrame, path: str, limit: int = 512, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's id, n_bytes (UTF-8), n_tokens, over_limit (more tokens than `limit`) and n_chunks (encoded parts).
 
@@ -163,8 +151,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id: str = "doc_id
         for batch in batches:
             column = pc.fill_null(batch.column(text), "")
             sizes = pc.binary_length(column).cast(pa.int64())
-            for part in _slices(sizes.to_pylist()):
-                rows = slice(part.start, part.stop)
+            for rows in slices(sizes.to_pylist(), TOGETHER):
                 tokens, chunks = zip(*bpe.counts(column[rows].to_pylist()), strict=True)
                 made = [pa.array(tokens, pa.int64()), pa.array([t > limit for t in tokens]), pa.array(chunks, pa.int64())]
                 yield pa.RecordBatch.from_arrays([batch.column(id)[rows], sizes[rows], *made], names=schema.names)

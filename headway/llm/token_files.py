@@ -17,16 +17,20 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import compress, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.bpe import LONGEST_REMEMBERED, MEMORY, NOT_SPACES
+from headway.llm.bpe import WORD_END, text_sizes
 from headway.llm.common import checkpointed, scratch_dir
+from headway.llm.memory import Memory, slices
 
 BLOCK = 128
 #: Percentiles of a block's differences, one of which gives its width.
@@ -35,6 +39,12 @@ PERCENTILES = (80, 90, 95, 100)
 EXCEPTION = 40
 #: Ids of a page.
 PAGE = BLOCK * 2048
+#: Bytes of texts encoded at once, or one longer text.
+TOGETHER = 4 << 20
+#: Bytes of runs remembered by a Python worker, and runs asked for as one text.
+ROOM, ASKED = 96 << 20, 512
+#: Marks that never are part of a word of letters.
+MARKS = ".,;:!?"
 #: Rows of a batch of results.
 ROWS = 4096
 MAGIC = b"PFORIDS1"
@@ -209,7 +219,7 @@ class LibraryIds:
     """Ids of texts by the tokenizers library, asked once for each run of non-space characters that is remembered.
     The file's normalizer and word pattern don't look across white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = ROOM):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
@@ -218,36 +228,70 @@ class LibraryIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.known, self.words, self.marks = Memory(room // 2), Memory(room // 2), Memory(room // 16)
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(names.values()) + 1, bool)
+        self.ends_word[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
 
     def _ask(self, runs: list[str]) -> list[bytes]:
-        """The ids of each run. Many are asked for as one text; where a token begins tells whose it is."""
+        """The ids of each run. A word of letters and the marks after it are encoded apart, so each is asked for once."""
+        words = [run.rstrip(MARKS) for run in runs]
+        plain = [word.isalpha() for word in words]
+        known = self.words.learn(compress(words, plain), self._ask_words)
+        marks = self.marks.learn({run[len(word) :] for run, word, p in zip(runs, words, plain, strict=True) if p}, self._ask_runs)
+        other = iter(self._ask_runs([run for run, p in zip(runs, plain, strict=True) if not p]))
+        return [known[word] + marks[run[len(word) :]] if p else next(other) for run, word, p in zip(runs, words, plain, strict=True)]
+
+    def _ask_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters. Many are asked for as one text; a token that ends a word tells where the next begins."""
         out: list[bytes] = []
-        for k in range(0, len(runs), 512):
-            part = runs[k : k + 512]
+        for k in range(0, len(words), ASKED):
+            part = words[k : k + ASKED]
+            found = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]  # without offsets
+            ids = np.asarray(found.ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in pairwise([0, *ends.tolist()])]
+            else:  # a letter that is normalized to more than letters
+                out += self._ask_runs(part)
+        return out
+
+    def _ask_runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of any runs. Many are asked for as one text; where a token begins tells whose it is."""
+        out: list[bytes] = []
+        for k in range(0, len(runs), ASKED):
+            part = runs[k : k + ASKED]
             begins = np.cumsum([0, *(len(x) + 1 for x in part[:-1])])
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.asarray(found.ids, "<u4")
-            at = np.searchsorted(np.fromiter((o[0] for o in found.offsets), np.int64, len(ids)), begins)
-            raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            raw = np.asarray(found.ids, "<u4").tobytes()
+            at = np.searchsorted(np.fromiter(map(itemgetter(0), found.offsets), np.int64), begins)
+            ends = [*(4 * at[1:]).tolist(), len(raw)]
             out += [raw[a:b] for a, b in zip((4 * at).tolist(), ends, strict=True)]
         return out
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's end.
+
+        Texts are cut at blanks, which no token holds, and each different run is looked up once; ids are gathered by number.
+        """
+        flat = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")  # white space alike for the normalizer
+        cut = pc.split_pattern(flat, " ")
+        coded = cut.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        known = self.known.learn(names, self._ask)
+        found = [known[name] for name in names]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes[codes])
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.arange(total) + np.repeat(begins[codes] - (ends - sizes[codes]), sizes[codes])
+        lists = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        return ids[places], np.concatenate([[0], ends])[lists[1:]]
+
     def __call__(self, text: str) -> bytes:
-        if any(c in text for c in NOT_SPACES):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = text.split()
-        new = list(set(pieces).difference(self.known))
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list(set(pieces))
-        known = self.known
-        known.update(zip(new, self._ask(new), strict=True))
-        out = b"".join(map(known.__getitem__, pieces))
-        for x in new:
-            if len(x) > LONGEST_REMEMBERED:
-                del known[x]
-        return out
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 _LIBRARY: dict[str, LibraryIds] = {}
@@ -275,15 +319,16 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2)
         shard = TaskContext.get().partitionId()
         system, root = _opened(folder)
         system.create_dir(root, recursive=True)
-        name, ids_of = f"ids-{shard:07d}-{uuid.uuid4().hex}", library_ids(path)
-        end = np.uint32(end_id).astype("<u4").tobytes()
+        name, ids_of = f"ids-{shard:07d}-{uuid.uuid4().hex}", library_ids(path).encode_all
+        end = np.uint32(end_id)
         with system.open_output_stream(f"{root}/{name}") as out:
             writer = TokenFileWriter(out)
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
-                for k in range(0, batch.num_rows, 256):
-                    for i, text in enumerate(batch.column("text").slice(k, 256).to_pylist()):
-                        writer.add(ids[k + i], np.frombuffer(ids_of(text or "") + end, "<u4"))
+                for rows in slices(text_sizes(batch.column("text")), TOGETHER):
+                    found, ends = ids_of(batch.column("text")[rows])
+                    for doc_id, at, to in zip(ids[rows], [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                        writer.add(doc_id, np.append(found[at:to], end))
             writer.close()
         if writer.docs:
             row = {"shard": [shard], "file": [f"{folder}/{name}"], "n_docs": [len(writer.docs)], "n_ids": [writer.ids]}

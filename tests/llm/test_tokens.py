@@ -9,6 +9,7 @@ from llm_tables import clashing, documents  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from headway.llm.memory import ENTRY
 from headway.llm.bpe import WordBpe, encode_documents, word_bpe
 from headway.llm.token_files import BLOCK, PAGE, LibraryIds, decode_page, encode_page, read_token_files, token_files, write_token_files
 
@@ -66,11 +67,12 @@ def test_decoding(library):
 
 
 def test_memory_starts_over():
-    small = WordBpe(PATH)
-    small.known_runs.most = small.known_words.most = 5
-    text = " ".join(f"word{i} x" for i in range(40))
-    assert small.encode(text) == word_bpe(PATH).encode(text)
-    assert len(small.known_runs) <= 6
+    small, asked = WordBpe(PATH, room=20 * ENTRY), LibraryIds(PATH, room=20 * ENTRY)
+    for k in range(50):
+        text = " ".join(f"word{i} x" for i in range(k, k + 4))
+        assert small.encode(text) == word_bpe(PATH).encode(text) == asked(text)
+        for memory in (small.runs, small.words, asked.known):
+            assert len(memory.young) + len(memory.old) <= 40
 
 
 def test_rows(documents, clashing, library):
