@@ -43,8 +43,9 @@ PAGE = BLOCK * 2048
 TOGETHER = 4 << 20
 #: Bytes of runs remembered by a Python worker, and runs asked for as one text.
 ROOM, ASKED = 96 << 20, 512
-#: Marks that never are part of a word of letters.
-MARKS = ".,;:!?"
+#: The last letter of a word and the marks up to the next blank, which are tokens of their own. Letters of which the
+#: normalizer makes letters again: others could leave an accent, which would stay with the marks.
+MARKS = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+(?: |$))"
 #: Rows of a batch of results.
 ROWS = 4096
 MAGIC = b"PFORIDS1"
@@ -228,19 +229,16 @@ class LibraryIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known, self.words, self.marks = Memory(room // 2), Memory(room // 2), Memory(room // 16)
+        self.known = Memory(room)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(names.values()) + 1, bool)
         self.ends_word[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
 
     def _ask(self, runs: list[str]) -> list[bytes]:
-        """The ids of each run. A word of letters and the marks after it are encoded apart, so each is asked for once."""
-        words = [run.rstrip(MARKS) for run in runs]
-        plain = [word.isalpha() for word in words]
-        known = self.words.learn(compress(words, plain), self._ask_words)
-        marks = self.marks.learn({run[len(word) :] for run, word, p in zip(runs, words, plain, strict=True) if p}, self._ask_runs)
-        other = iter(self._ask_runs([run for run, p in zip(runs, plain, strict=True) if not p]))
-        return [known[word] + marks[run[len(word) :]] if p else next(other) for run, word, p in zip(runs, words, plain, strict=True)]
+        plain = [run.isalpha() for run in runs]
+        words = iter(self._ask_words(list(compress(runs, plain))))
+        others = iter(self._ask_runs([run for run, p in zip(runs, plain, strict=True) if not p]))
+        return [next(words) if p else next(others) for p in plain]
 
     def _ask_words(self, words: list[str]) -> list[bytes]:
         """The ids of words of letters. Many are asked for as one text; a token that ends a word tells where the next begins."""
@@ -273,10 +271,11 @@ class LibraryIds:
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and where each text's end.
 
-        Texts are cut at blanks, which no token holds, and each different run is looked up once; ids are gathered by number.
+        Texts are cut at blanks, which no token holds, and before marks that follow a word; each different run is looked up
+        once, and ids are gathered by number.
         """
         flat = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")  # white space alike for the normalizer
-        cut = pc.split_pattern(flat, " ")
+        cut = pc.split_pattern(pc.replace_substring_regex(flat, MARKS, r"\1 \2"), " ")
         coded = cut.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         known = self.known.learn(names, self._ask)
