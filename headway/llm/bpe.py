@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from headway.llm.memory import Memory, slices
 
 #: Bytes of runs and words remembered by a Python worker, over both.
-ROOM = 112 << 20
+ROOM = 64 << 20
 #: Pairs of symbols whose compatibility is remembered, in a table of so many places: a power of two.
 PAIR_PLACES = 1 << 18
 #: Bytes of texts handled at once, or one longer text.
