@@ -122,12 +122,13 @@ def exact_top_k(table: DataFrame, k: int = 10, every: int = 100, shard_rows: int
     inner product of scaled vectors, ties to the smaller vec_id; all, if there are fewer.
 
     Takes vec_id and embedding; other columns aren't read. Rows without a vec_id take no part, nor do vectors that are
-    null, empty, or have a null or non-finite component. Vectors of different lengths don't meet. Rows of one vec_id
-    count as one, with the vector that sorts first; a query doesn't meet its own vec_id. Scores beyond 64 bits raise.
+    null, empty, or have a null or non-finite component. Vectors of different lengths don't meet. Rows that
+    repeat both vec_id and vector count as one; a vec_id with several vectors is found by each, and asks with all of them for one
+    list. A query doesn't meet its own vec_id. Scores beyond 64 bits raise.
     """
     rows = table.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     rows = rows.select("vec_id", scaled(F.col("embedding")).alias("vector"))
-    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = rows.dropDuplicates(["vec_id", "vector"])
     rows = materialize(rows.withColumn("dim", F.size("vector")), "scaled")
     asks = F.col("vec_id") % every == 0
     n, n_queries = rows.agg(F.count("*"), F.count(F.when(asks, 1))).first()

@@ -58,6 +58,17 @@ def test_top_k_edges(spark):
     assert exact_top_k(table(spark, rows[:1])).collect() == []
 
 
+def test_top_k_loses_no_vector_of_a_repeated_id(spark):
+    rows = [(0, [1.0, 1.0]), (1, [0.125, 0.125]), (1, [5.0, 0.0]), (2, [1.0, 0.5]), (100, [2.0, 0.0]), (100, [0.0, 3.0])]
+    for shard in (1, 2048):
+        got = sorted(map(tuple, exact_top_k(table(spark, rows), k=10, every=100, shard_rows=shard).collect()))
+        want = []
+        for q in (0, 100):
+            pairs = [(-product(x, y), i) for a, x in rows if a == q for i, y in rows if i != q]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(pairs)[:10])]
+        assert got == sorted(want)
+
+
 def test_tree_boxes_bound_their_rows():
     rows = np.random.default_rng(3).integers(-50, 50, (500, 6))
     tree, query = KdTree(rows, leaf=8), np.array([3, -2, 0, 7, 1, -9])
