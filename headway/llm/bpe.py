@@ -39,6 +39,8 @@ TOGETHER = 1 << 20
 DECODED_AT_ONCE = 1 << 18
 
 WORD_END = "</w>"
+#: Marks that are one word of their own after letters.
+MARKS = ".,;:!?"
 #: White space for str.split(), but not for the tokenizer.
 NOT_SPACES = "\x1c\x1d\x1e\x1f"
 _LATE = 1 << 60
@@ -175,7 +177,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.between = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
         self.words, self.runs = Memory(room // 2), Memory(room // 2)
-        self.lowers = self._plain(ascii_letters) == [ascii_letters.lower()]
+        self.lowers = self._plain(ascii_letters + MARKS) == [ascii_letters.lower(), MARKS]
         names = {i: t for t, i in [*spec["model"]["vocab"].items(), *self.special.items()]}
         pieces = [names[i].encode() + b" " for i in range(len(names))]
         self.offsets = np.cumsum([0, *map(len, pieces)])
@@ -186,8 +188,9 @@ class WordBpe:
 
     def _parts(self, run: str) -> list[str | bytes]:
         """The words of a run, and the ids of the special tokens that it names; these stand before anything is normalized."""
-        if self.lowers and run.isascii() and run.isalpha():
-            return [run.lower()]  # as the normalizer and the splitter would
+        word = run.rstrip(MARKS)
+        if self.lowers and word.isascii() and word.isalpha():  # as the normalizer and the splitter would
+            return [word.lower()] if word == run else [word.lower(), run[len(word) :]]
         out, at = [], 0
         for found in self.between.finditer(run):
             out += [*self._plain(run[at : found.start()]), np.uint32(self.special[found[0]]).astype("<u4").tobytes()]
