@@ -10,7 +10,8 @@ Short lists emit their pairs. A long list doesn't: its members are compared with
 common values. Two members of the list then either share a value that the pivot hasn't, and meet in a list of their
 values beside the pivot's, which are rare; or all that they share is the pivot's too, so that each shares as much
 with the pivot, and they meet by size, if neither is linked with the pivot anyway. Lists that are still long get
-another pivot. After the last pivot all pairs are emitted that links found so far don't connect, so no link is lost.
+another pivot, until the pairs in them are no more than the rows of the first lists; then all pairs are emitted that
+links found so far don't connect, so no link is lost. A pivot has nothing beside its own values, so lists only shrink.
 A pair is dropped if the sketch of the union has fewer than `floor` values in common, else its full sets decide.
 """
 
@@ -28,9 +29,8 @@ from headway.llm.components import stars
 SKETCH = 64
 #: Chance that a linked pair of large sets shares fewer sketch values than the floor asks for.
 MISS = 1e-9
-#: Longer lists are taken apart by pivots, so often.
+#: Longer lists are taken apart by pivots.
 SHORT_LIST = 16
-PIVOTS = 2
 
 
 def overlap_floor(k: int, percent: int, miss: float = MISS) -> int:
@@ -102,7 +102,7 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _by_length(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ctx, v, lead) of the short and the long lists; lead is the member with the most common values."""
+    """(ctx, v, lead, size) of the short and the long lists; lead is the member with the most common values."""
     lead = F.max_by("cid", F.struct("w", "cid")).alias("lead")
     found = lists.groupBy("ctx", "v").agg(F.count("*").alias("size"), lead)
     found = checkpointed(found.where("size > 1"))
@@ -188,14 +188,19 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percen
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH, miss: float = MISS, pivots: int = PIVOTS
+    docs: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH, miss: float = MISS, pivots: int | None = None
 ) -> DataFrame:
     """Groups of documents with 100 * intersection >= percent * union of their distinct word shingles.
 
     Takes doc_id and text; other columns are ignored, whatever their names. Returns, for every row, doc_id,
     n_shingles, component_id (the smallest doc_id linked with it, directly or over others) and kept (it is that one).
     A null or blank text has no shingle and no link. Rows with a null doc_id take part; they don't name a component,
-    and aren't kept; a component without any doc_id is null. Repeated rows come back as often as they came.
+    and aren't kept; a component without any doc_id is null. Repeated rows come back as often as they came. A very long
+    text is one row with its set of hashes. An empty table gives an empty one.
+
+    `pivots` is how often long lists are taken apart; None takes as many as their pairs ask for. The result is the same.
+    Two sets are equal if their 128-bit keys are, and shingles if their 64-bit hashes are. A linked pair of sets of over
+    `k` shingles is missed with a chance of at most `miss`, where its sketches have too few values in common by chance.
     """
     floor = overlap_floor(k, percent, miss)
     keyed = _keyed(docs, words)
@@ -214,16 +219,20 @@ def near_duplicates(
 
     links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     labels = links.select(F.col("a").alias("cid"), F.col("b").alias("root"))
-    members = None
-    for left in range(pivots, -1, -1):
+    members, room, round_ = None, lists.count(), 0
+    more = True
+    while more:
         short, long = _by_length(lists)
+        left = long.agg(F.sum(F.col("size") * F.col("size"))).first()[0] or 0
+        more = left > room if pivots is None else round_ < pivots
+        round_ += 1
         rows = _labelled(lists, labels)
         alike = _similar_sizes("xn", "n", percent)
         few = rows.join(short.select("ctx", "v"), ["ctx", "v"])
         pairs = _cross_pairs(few, few.select(*few.columns), ["ctx", "v"], (F.col("x") < F.col("cid")) & alike)
         within = links.limit(0) if members is None else _linked_within_pivots(members, labels, sets, percent)
         many = rows.join(long.select("ctx", "v"), ["ctx", "v"])
-        if left:
+        if more:
             members = _members(lists, long, members, sets)
             pairs = pairs.union(members.where("cid <> lead").select(*_pair("cid", "lead")))
             lists = materialize(_rest_lists(members, percent), "lists")

@@ -122,3 +122,10 @@ def test_components(spark):
 def test_floor():
     assert overlap_floor(64, 80) == 30
     assert overlap_floor(64, 80, miss=1e-3) > 30
+
+
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_the_number_of_pivots_changes_nothing(documents, monkeypatch, pivots):
+    monkeypatch.setattr(near_dup, "SHORT_LIST", 2)
+    docs = corpus(6, 120, 2, 90)
+    assert result(near_duplicates(documents(docs), words=4, pivots=pivots)) == brute(docs, 4, 80)
