@@ -7,6 +7,7 @@ the probability with which each of its documents is drawn.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -136,7 +137,7 @@ def fit(
     with fewer tokens than its share is whole too, and the others of its column make up for it.
 
     Marginals that the cells can't meet together leave the last column exact and the rest as near as `sweeps` sweeps
-    came; `moved` tells by how much the last sweep still changed a cell.
+    came; `moved` tells by how much the last sweep still changed a cell, and a warning says so.
     """
     if tokens is None:
         targets = {column: _normalized(cells, column, table) for column, table in targets.items()}
@@ -151,8 +152,11 @@ def fit(
     for _ in range(sweeps):
         cells = cells.withColumn("moved", F.lit(0.0))
         cells = checkpointed(reduce(lambda c, item: change(c, *item), targets.items(), cells))
-        if (cells.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+        moved = cells.agg(F.max("moved")).first()[0] or 0.0
+        if moved <= tolerance:
             break
+    else:
+        warnings.warn(f"targets contradict each other: the last of {sweeps} sweeps moved a cell by {moved:.2g}", stacklevel=2)
     return cells
 
 
