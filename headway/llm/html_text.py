@@ -12,11 +12,14 @@ import html
 import random
 import re
 import zlib
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +31,18 @@ SAMPLE_PAGES = 240
 SAMPLE_CHARS = 20_000
 LAYOUTS = 3
 EPOCHS = 6
-#: Pages read at once.
+#: Words of a block that counts as text where no page has an article element.
+LONG_BLOCK = 8
+#: Pages labelled at once, and the most steps over all of them, padding included; a longer page is labelled alone.
 PAGES_AT_ONCE = 64
-
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.DOTALL,
-)
+STEPS_AT_ONCE = 32_768
+#: Characters of html read at once; a longer page is read alone.
+CHARS_AT_ONCE = 4_000_000
+
+_MARK = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_NAME_END = re.compile(r"[^\s/>]*")
+_ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
+_SPECIAL = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
@@ -81,6 +89,59 @@ _PATH_SLOTS = _Memo(lambda key: [_slot(x, PATH) for x in (key[0], *_named(key[1]
 _WORD_SLOTS = _Memo(lambda word: _slot(word, WORDS))
 
 
+class _Tags:
+    """Reads the tags of a page from left to right, in time linear in its length."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.specials: list[int] | None = None
+        self.ends: list[int] = []
+
+    def _learn_ends(self) -> None:
+        """For each `>` or quote, where a tag ends that reads it outside quotes; -1 if a quote stays open."""
+        self.specials = [m.start() for m in _SPECIAL.finditer(self.page)]
+        self.ends = [-1] * len(self.specials)
+        following: dict[str, int] = {}
+        for k in range(len(self.specials) - 1, -1, -1):
+            char = self.page[self.specials[k]]
+            if char == ">":
+                self.ends[k] = self.specials[k]
+            else:
+                close = following.get(char, len(self.specials))
+                self.ends[k] = self.ends[close + 1] if close + 1 < len(self.specials) else -1
+                following[char] = k
+
+    def _end(self, at: int) -> int:
+        """The `>` that ends a tag whose attributes begin at `at`: outside quotes, else the next one at all."""
+        if self.specials is None:
+            end = _ATTRIBUTES.match(self.page, at).end()
+            if end < len(self.page) and self.page[end] == ">":
+                return end
+            self._learn_ends()  # a second vain walk could be as long as the first
+        k = bisect_left(self.specials, at)
+        end = self.ends[k] if k < len(self.specials) else -1
+        return end if end >= 0 else self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Begin, end, whether it is an end tag, name and attributes of the next tag; comments and the like have no name."""
+        page = self.page
+        while found := _MARK.search(page, at):
+            begin, mark = found.start(), found[0]
+            if mark == "<!--":
+                end = page.find("-->", begin + 4)
+                return begin, end + 3 if end >= 0 else len(page), False, "", ""
+            if mark in ("<!", "<?"):
+                end = page.find(">", begin + 2)
+                return begin, end + 1 if end >= 0 else len(page), False, "", ""
+            if begin < self.last:
+                name_at = found.end() - 1
+                name_end = _NAME_END.match(page, name_at).end()
+                end = self._end(name_end)
+                return begin, end + 1, mark[1] == "/", page[name_at:name_end], page[name_end:end]
+            at = found.end()  # nothing closes it: text
+        return None
+
+
 @dataclass
 class Blocks:
     """The leaf blocks of a page, in order: text, path vector, and characters within links."""
@@ -93,7 +154,8 @@ class Blocks:
 def blocks_of(page: str) -> Blocks:
     """Reads a page as browsers do where it matters: unclosed and crossing elements, omitted end tags, raw text."""
     out = Blocks()
-    stack: list[tuple[str, np.ndarray]] = [("", np.zeros(PATH, np.float32))]
+    stack: list[tuple[str, np.ndarray]] = [("", np.zeros(PATH, bool))]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack a name is, so that nothing scans it
     parts: list[str] = []
     linked, in_link, at = 0, 0, 0
 
@@ -107,35 +169,43 @@ def blocks_of(page: str) -> Blocks:
             parts.clear()
         linked = 0
 
+    def cut(k: int) -> None:
+        for name, _ in stack[k:]:
+            places[name].pop()
+        del stack[k:]
+
+    def innermost(names: frozenset[str]) -> int:
+        return max((places[x][-1] for x in names if places[x]), default=0)
+
     def close(names: frozenset[str], beyond: frozenset[str] = frozenset()) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                end_block()
-                del stack[k:]
-                return
-            if stack[k][0] in beyond:
-                return
+        k = innermost(names)
+        if k > innermost(beyond):
+            end_block()
+            cut(k)
 
+    tags, headless = _Tags(page), False
     n = len(page)
     while at < n:
-        found = _TAG.search(page, at)
-        chunk = page[at : found.start() if found else n]
+        found = tags.next(at)
+        chunk = page[at : found[0] if found else n]
         if chunk:
             chunk = html.unescape(chunk) if "&" in chunk else chunk
             parts.append(chunk)
             linked += len(chunk) if in_link else 0
         if not found:
             break
-        at = found.end()
-        ends, name, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
+        _, at, ends, name, attributes = found
         if not name:
             continue
         name = name.lower()
         if name in UNSEEN and not ends:
             if attributes.endswith("/") and name not in ("script", "style", "title"):
                 continue
-            over = re.compile(rf"</{re.escape(name)}\s*>|<body\b" if name == "head" else rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            at = (over.start() if over[0].startswith("<b") else over.end()) if over else (at if name == "head" else n)
+            if name == "head" and headless:
+                continue
+            over = re.compile(rf"</{re.escape(name)}\s*>" + (r"|<body\b" if name == "head" else ""), re.IGNORECASE).search(page, at)
+            headless = name == "head" and not over
+            at = (over.start() if over[0][1] in "bB" else over.end()) if over else (at if headless else n)
             continue
         if name == "a":
             in_link = 0 if ends else 1
@@ -153,10 +223,11 @@ def blocks_of(page: str) -> Blocks:
             if name in group:
                 close(group, LISTS)
         if stack[-1][0] == "p":
-            stack.pop()
+            cut(len(stack) - 1)
         if name not in VOID:
             path = stack[-1][1].copy()
-            path[_PATH_SLOTS[name, attributes.strip()]] = 1
+            path[_PATH_SLOTS[name, attributes.strip()]] = True
+            places[name].append(len(stack))
             stack.append((name, path))
     end_block()
     return out
@@ -240,8 +311,13 @@ class BlockLabeller:
         out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
         filled = sorted((k for k, page in enumerate(pages) if len(page)), key=lambda k: len(pages[k]))
         w = self.weights
-        for begin in range(0, len(filled), PAGES_AT_ONCE):
-            part = filled[begin : begin + PAGES_AT_ONCE]
+        sizes = [len(pages[k]) for k in filled]
+        end = 0
+        while (begin := end) < len(filled):
+            end = begin + 1
+            while end < min(len(filled), begin + PAGES_AT_ONCE) and sizes[end] * (end + 1 - begin) <= STEPS_AT_ONCE:
+                end += 1
+            part = filled[begin:end]
             lengths = np.array([len(pages[k]) for k in part])
             inputs = self._padded(np.tanh(np.concatenate([pages[k] for k in part]) @ w["w"] + w["b"]), lengths)
             forward = self._run("f", inputs)
@@ -333,7 +409,7 @@ def sample_labels(blocks: Blocks) -> np.ndarray:
     """Of a page as it is: what stands in an article element, and in no part that HTML has for something else."""
     article = _slot("article", PATH)
     other = [_slot(x, PATH) for x in ("nav", "footer", "aside", "form")]
-    return np.array([path[article] > 0 and not path[other].any() for path in blocks.paths], bool)
+    return np.array([bool(path[article]) and not path[other].any() for path in blocks.paths], bool)
 
 
 def laid_out(rng: random.Random, title: str, texts: list[str], strange: list[str]) -> tuple[str, dict[str, bool]]:
@@ -365,14 +441,22 @@ def laid_out(rng: random.Random, title: str, texts: list[str], strange: list[str
 
 
 def train(pages: list[str], seed: int = 3, epochs: int = EPOCHS, layouts: int = LAYOUTS) -> BlockLabeller:
-    """A labeller from html pages; untrained if none has an article."""
+    """A labeller from html pages. If none has an article element, it learns from layouts made of their longer blocks
+    alone; if none has a block, it takes every block for text."""
     rng, model = random.Random(seed), BlockLabeller(seed)
     examples: list[tuple[np.ndarray, np.ndarray]] = []
     read = [(blocks, sample_labels(blocks)) for blocks in map(blocks_of, pages) if blocks.texts]
-    read = [(blocks, labels) for blocks, labels in read if labels.any()]
-    strange = [text for blocks, _ in read for text in blocks.texts] or ["-"]
-    for blocks, labels in read:
-        examples.append((features(blocks), labels))
+    marked = [(blocks, labels) for blocks, labels in read if labels.any()]
+    if not read:
+        model.weights |= {"o": np.zeros_like(model.weights["o"]), "d": np.full(1, 5, np.float32)}
+        return model
+    if not marked:
+        long = [np.array([len(text.split()) >= LONG_BLOCK for text in blocks.texts]) for blocks, _ in read]
+        read = [(blocks, labels if labels.any() else ~labels) for (blocks, _), labels in zip(read, long, strict=True)]
+    strange = [text for blocks, _ in marked or read for text in blocks.texts]
+    for blocks, labels in marked or read:
+        if marked:
+            examples.append((features(blocks), labels))
         own = [text for text, is_text in zip(blocks.texts, labels, strict=True) if is_text]
         for _ in range(layouts):
             some = [x for x in own[1:] if rng.random() < 0.7] or own[1:]
@@ -409,9 +493,11 @@ def main_texts(model: BlockLabeller, pages: list[str | None]) -> list[str]:
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> BlockLabeller:
-    """A labeller from about `sample` pages of at most `chars` characters, chosen by a hash of page_id; they are all
-    that comes to the driver."""
-    fit = pages.where((F.length("html") <= chars) & F.col("page_id").isNotNull()).select("page_id", "html")
+    """A labeller from about `sample` pages of at most `chars` characters, or twice the shortest page where all are
+    longer, chosen by a hash of page_id; they are all that comes to the driver."""
+    named = pages.where((F.length("html") > 0) & F.col("page_id").isNotNull()).select("page_id", "html")
+    least = named.agg(F.min(F.length("html"))).first()[0] or 0
+    fit = named.where(F.length("html") <= max(chars, 2 * least))
     count = fit.count()
     chance = F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) / (1 << 20)
     rows = fit.where(chance < sample / max(count, 1)).collect()
@@ -424,13 +510,20 @@ def extract(pages: DataFrame, model: BlockLabeller | None = None) -> DataFrame:
 
     Null or empty html, and pages without main text, give the empty text. Rows come back one for one, repeated ones
     too; other columns aren't read; an empty table gives an empty one. The order of a page's text is the page's.
+    Time and memory are linear in a page, whatever its markup; a page over the bounds above is read and labelled alone.
+    A `<` that no `>` follows is text. Where the sample has no article element, the labeller learns from made layouts.
     """
     model = model or learn(pages)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 4 * PAGES_AT_ONCE):
-                part = batch.slice(k, 4 * PAGES_AT_ONCE)
+            sizes = pc.fill_null(pc.utf8_length(batch.column("html")), 0).to_pylist()
+            end = 0
+            while (begin := end) < batch.num_rows:
+                chars, end = sizes[begin], begin + 1
+                while end < min(batch.num_rows, begin + 4 * PAGES_AT_ONCE) and (chars := chars + sizes[end]) <= CHARS_AT_ONCE:
+                    end += 1
+                part = batch.slice(begin, end - begin)
                 texts = main_texts(model, part.column("html").to_pylist())
                 arrays = [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())]
                 arrays.append(pa.array([len(x) for x in texts], pa.int64()))

@@ -2,10 +2,12 @@ import html
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
+from headway.llm import html_text
 from headway.llm.html_text import (
     BESIDE, FEATURES, BlockLabeller, blocks_of, extract, features, laid_out, learn, main_texts, sample_labels, train,
 )
@@ -134,3 +136,45 @@ def test_given_pages(spark):
         blocks = [" ".join(html.unescape(re.sub("<[^>]+>", "", x)).split()) for x in re.split("</?p>|</?h1>|<br>", article)]
         right += got[r.page_id] == "\n\n".join(x for x in blocks if x)
     assert right >= 0.99 * pages.count()
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<a" * 500_000, '<a ">")' * 140_000 + "'", "<head>" * 170_000, "<div>" * 100_000 + "</x>" * 100_000,
+     "<td><table>" + "<div>" * 60_000 + "<td>x</td>" * 60_000],
+    ids=["open", "names", "quotes", "heads", "ends", "cells"],
+)
+def test_broken_markup_takes_linear_time(page):
+    begin = time.process_time()
+    blocks_of(page)
+    assert time.process_time() - begin < 20
+
+
+def test_tags_end_outside_quotes():
+    assert blocks_of("<p title='a > b'>one</p><p x=\">two</p>three").texts == ["one", "two", "three"]
+    assert blocks_of("a <b").texts == ["a <b"]
+    assert blocks_of("a <!-- b").texts == ["a"]
+
+
+def test_a_long_page_among_short_ones_is_labelled_alone():
+    model = html_text.BlockLabeller()
+    runs = []
+    run = model._run
+    model._run = lambda side, inputs, keep=None: (runs.append(inputs.shape[:2]), run(side, inputs, keep))[1]
+    html_text.main_texts(model, ["<p>a b c</p>" * 50_000] + ["<p>x</p><p>y</p>"] * 63)
+    assert {(50_000, 1), (2, 63)} == set(runs)
+
+
+def test_without_article_elements_layouts_are_made_of_long_blocks():
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(900)}" for _ in range(4000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    pages = [f"<div class='menu'><a href='/'>{text(2)}</a></div>" + "".join(f"<p>{text(30)}</p>" for _ in range(4)) for _ in range(60)]
+    model = html_text.train(pages)
+    wanted = [text(40), text(25), text(33)]
+    page = "<nav><ul><li><a href='/'>Home</a></li></ul></nav><main>" + "".join(f"<p>{x}</p>" for x in wanted) + "</main><footer>x y</footer>"
+    assert html_text.main_texts(model, [page]) == ["\n\n".join(wanted)]
+
+
+def test_a_sample_without_blocks_takes_every_block_for_text():
+    assert html_text.main_texts(html_text.train(["", "<br>"]), ["<p>a</p><nav>b</nav>"]) == ["a\n\nb"]
