@@ -37,6 +37,12 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
 
 
+def levelled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest component is near 1 and neither squares nor products run
+    over; cosines stay what they are to the last bit."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def beam_search(
     rows: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, width: int, expanded: int = EXPANDED
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +158,7 @@ def _index_shard(key, table):  # unannotated: with hints, Spark expects all of t
 
 def _search_shard(table: pa.Table, asked: pa.Table, k: int, width: int) -> pa.Table:
     table = table.sort_by("node")
-    vectors, queries = matrix(table, "vector", np.float64), matrix(asked, "vector", np.float64)
+    vectors, queries = levelled(matrix(table, "vector", np.float64)), levelled(matrix(asked, "vector", np.float64))
     rows, edges = unit(vectors), matrix(table, "edges", np.int32)
     edges = np.concatenate([edges, np.full((1, edges.shape[1]), -1, np.int32)])
     lengths, ids = np.linalg.norm(vectors, axis=1), table.column("ids").to_pylist()
@@ -204,7 +210,8 @@ def nearest(
 
     Takes vec_id and embedding; other columns aren't read. Rows without a vec_id take no part, nor do vectors that are
     null, empty, zero, or have a null or non-finite component. Vectors of different lengths don't meet. Repeated rows
-    count once; of a vec_id with several vectors each takes part, and a query doesn't meet its own vec_id.
+    count once; of a vec_id with several vectors each takes part, and a query doesn't meet its own vec_id. Huge and tiny
+    components count as they are.
     """
     vectors = materialize(distinct_vectors(table, k + 1), "vectors")
     index = graph_index(vectors, vectors.count(), shard_rows)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from headway.llm import graph_search
-from headway.llm.graph_search import beam_search, build_graph, nearest, unit
+from headway.llm.graph_search import beam_search, build_graph, levelled, nearest, unit
 from headway.llm.kd_search import KdTree, exact_kind, exact_top_k
 
 NAN, INF = float("nan"), float("inf")
@@ -130,3 +130,18 @@ def test_search_result_is_one_list_a_query(spark):
     rows = [(i, [rng.choice((0.5, 1.0)) for _ in range(3)]) for i in range(200)]
     got = nearest(table(spark, rows), k=5, every=50).collect()
     assert sorted((r.query_id, r.rank) for r in got) == [(q, r) for q in (0, 50, 100, 150) for r in range(1, 6)]
+
+
+def test_huge_and_tiny_components_have_their_cosine(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e-200, 2e-200]), (2, [2.0, 1.0]), (3, [-1e300, 1e300]), (4, [5e-324, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in sorted(nearest(docs, k=5, every=50).collect(), key=lambda r: r.rank)]
+    assert [x for x, _ in got] == [1, 2, 4, 3]
+    assert [round(score, 9) for _, score in got] == [1.0, 0.8, round(5**-0.5, 9), round(10**-0.5, 9)]
+
+
+def test_levelling_changes_no_bit_of_a_cosine():
+    rows = np.random.default_rng(8).standard_normal((300, 16)) * 37
+    flat = levelled(rows)
+    cosines = lambda x: (x @ x[0]) / (np.linalg.norm(x, axis=1) * np.linalg.norm(x[0]))
+    assert (cosines(rows) == cosines(flat)).all()
