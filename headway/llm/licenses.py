@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,10 @@ from headway.llm.license_rules import PRIORITIES, RULES, Rule
 #: Phrases that always count, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 BASE_CONFIDENCE = 0.6
+#: Places or detections whose running values are worked out together.
+BLOCK = 256
 _BEGIN, _END = "\x01", "\x02"
+_PLACES = "array<struct<first:int,last:int>>"
 _SPAN = "struct<first:int,last:int,priority:int,label:string,confidence:double>"
 
 
@@ -35,23 +39,74 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once; within a lambda an expression used twice is evaluated twice."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _along(
+    items: Column,
+    start: Column,
+    state: str,
+    after: Callable[[Column, Column], Column],
+    made: Callable[[Column, Column], Column],
+    kind: str,
+) -> Column:
+    """made(state before the item, item) for every item, in order, where after(state, item) is the state that follows.
+
+    An array that grows by one is copied each time, so the items are taken in blocks: first the state before each block,
+    then the items of each block by themselves. What is copied is BLOCK / 2 results an item and a state for each pair of blocks.
+    """
+
+    def grown(array: Column, item: Column) -> Column:
+        return F.concat(array, F.array(item))
+
+    def within(block: Column, begin: Column) -> Column:
+        none = F.struct(begin.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(
+            block,
+            none,
+            lambda s, x: F.struct(after(s["state"], x).alias("state"), grown(s["out"], made(s["state"], x)).alias("out")),
+            lambda s: s["out"],
+        )
+
+    def before(blocks: Column) -> Column:
+        none = F.struct(start.alias("state"), F.array().cast(f"array<{state}>").alias("out"))
+        return F.aggregate(
+            blocks,
+            none,
+            lambda s, block: F.struct(
+                F.aggregate(block, s["state"], after).alias("state"), grown(s["out"], s["state"]).alias("out")
+            ),
+            lambda s: s["out"],
+        )
+
+    def cut(items: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+        return F.transform(blocks, lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+
+    some = _let(items, lambda i: _let(cut(i), lambda blocks: F.flatten(F.zip_with(blocks, before(blocks), within))))
+    return F.when(F.size(items) > 0, some).otherwise(F.array().cast(f"array<{kind}>"))
+
+
 def places(padded: Column, pattern: Column) -> Column:
     """(first, last) words of all places of a pattern of whole words, in order, one after the other."""
     whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    parts = F.split(F.regexp_replace(padded, whole, F.lit(f"{_BEGIN}$0{_END}")), _BEGIN)
+    marked = F.split(F.regexp_replace(padded, whole, F.lit(f"{_BEGIN}$0{_END}")), _BEGIN)
 
-    def step(state: Column, part: Column) -> Column:
-        first = state["spaces"] - 1
-        last = first + _spaces(F.substring_index(part, _END, 1))
-        found = F.array(F.struct(first.alias("first"), last.alias("last")))
-        spaces = state["spaces"] + _spaces(part)
-        return F.struct(spaces.alias("spaces"), F.concat(state["found"], found).alias("found"))
+    def found(parts: Column) -> Column:
+        before = _along(
+            F.transform(parts, _spaces), F.lit(0), "int", lambda sum_, n: sum_ + n, lambda sum_, n: sum_, "int"
+        )
 
-    start = F.struct(
-        _spaces(F.get(parts, F.lit(0))).alias("spaces"), F.array().cast("array<struct<first:int,last:int>>").alias("found")
-    )
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.aggregate(rest, start, step, lambda state: state["found"])
+        def place(part: Column, first: Column) -> Column:
+            return F.struct(first.alias("first"), (first + _spaces(F.substring_index(part, _END, 1))).alias("last"))
+
+        starts = F.transform(before, lambda n: n - 1)
+        rest = F.greatest(F.size(parts) - 1, F.lit(0))
+        return F.zip_with(F.slice(parts, 2, rest), F.slice(starts, 2, rest), place)
+
+    return _let(marked, lambda parts: F.when(F.size(parts) > 1, found(parts)).otherwise(F.array().cast(_PLACES)))
 
 
 def _literal(rules: tuple[Rule, ...]) -> Column:
@@ -112,21 +167,23 @@ def unsuppressed(found: Column) -> Column:
     """Ordered detections without those inside an earlier one of the same or a better priority. An interval that holds
     another comes before it, so the furthest end so far of each priority tells."""
 
-    def step(state: Column, d: Column) -> Column:
+    def after(ends: Column, d: Column) -> Column:
+        return F.struct(
+            *[
+                F.when(d["priority"] == p, F.greatest(ends[f"end{p}"], d["last"])).otherwise(ends[f"end{p}"]).alias(f"end{p}")
+                for p in range(1, PRIORITIES + 1)
+            ]
+        )
+
+    def kept(ends: Column, d: Column) -> Column:
         inside = reduce(
-            lambda a, b: a | b, [(d["priority"] >= p) & (state[f"end{p}"] >= d["last"]) for p in range(1, PRIORITIES + 1)]
+            lambda a, b: a | b, [(d["priority"] >= p) & (ends[f"end{p}"] >= d["last"]) for p in range(1, PRIORITIES + 1)]
         )
-        ends = [
-            F.when(d["priority"] == p, F.greatest(state[f"end{p}"], d["last"])).otherwise(state[f"end{p}"]).alias(f"end{p}")
-            for p in range(1, PRIORITIES + 1)
-        ]
-        kept = F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d)))
-        return F.struct(*ends, kept.alias("kept"))
+        return F.when(~inside, d)
 
-    start = F.struct(
-        *[F.lit(-1).alias(f"end{p}") for p in range(1, PRIORITIES + 1)], F.array().cast(f"array<{_SPAN}>").alias("kept")
-    )
-    return F.aggregate(found, start, step, lambda state: state["kept"])
+    start = F.struct(*[F.lit(-1).alias(f"end{p}") for p in range(1, PRIORITIES + 1)])
+    state = "struct<" + ",".join(f"end{p}:int" for p in range(1, PRIORITIES + 1)) + ">"
+    return F.filter(_along(found, start, state, after, kept, _SPAN), lambda d: d.isNotNull())
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -135,13 +192,14 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     and last word of each.
 
     A null text is empty: no words, no labels, score 0. Rows come back one for one, repeated ones too; other columns
-    than doc_id and text aren't read; an empty table gives an empty one.
+    than doc_id and text aren't read; an empty table gives an empty one. Long texts are scanned whole; the time grows with
+    their length and, for n places, with n * BLOCK.
     """
     rows = docs.select("doc_id", normalized(F.col("text")).alias("padded"))
     padded = F.col("padded")
     anchored = padded.rlike(any_keyword(rules)) if rules else F.lit(False)
     licensed = F.contains(padded, F.lit(" license "))
-    none = F.array().cast("array<struct<first:int,last:int>>")
+    none = F.array().cast(_PLACES)
     rows = rows.select(
         "doc_id",
         F.greatest(_spaces(padded) - 1, F.lit(0)).cast("long").alias("n_words"),

@@ -10,7 +10,7 @@ from llm_tables import clashing, documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from headway.llm.license_rules import RULES, Rule
-from headway.llm.licenses import BASE, scan
+from headway.llm.licenses import BASE, BLOCK, scan
 from headway.llm.mixing import fit, mixed, mixture, tempered_targets
 from headway.llm.url_lists import host_of, judged, names_above, validity
 
@@ -200,6 +200,16 @@ def test_scan_equals_plain_search(documents, clashing):
     assert scan(documents([])).collect() == []
 
 
+def test_many_places_of_one_text(documents):
+    blocks = "all rights reserved mit license, Apache License version 2.0 gpl " * (BLOCK + 50)
+    many = "mit license x general public license " * 50000
+    got = {r.doc_id: r for r in scan(documents([(1, blocks), (2, many)])).collect()}
+    assert tuple(got[1])[1:-1] == by_hand(blocks)
+    assert (got[2].n_words, got[2].n_base, got[2].first_word, got[2].last_word) == (300000, 100000, 0, 299997)
+    ends = [(d.first, d.last) for d in got[2].detections if d.label == "mit"]
+    assert ends == [(6 * k, 6 * k + 1) for k in range(50000)]
+
+
 def test_containment_and_priority(documents):
     rules = tuple(Rule(label, p, 1 / p, "x", pattern) for label, p, pattern in (("whole", 1, "a b c d"), ("part", 1, "b c"), ("better", 1, "q r"), ("worse", 2, "q r s"), ("same", 1, "q r"), ("cross", 2, "d e")))
     rows = [(1, "x license a b c d"), (2, "x license b c"), (3, "x license q r s"), (4, "x license a b c d e")]
