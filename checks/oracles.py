@@ -311,6 +311,24 @@ ORACLES: dict[str, str] = {
     "alerts_by_cause": BASE
     + "SELECT cause, count(DISTINCT alert_id) AS alert_count FROM alerts GROUP BY cause",
     "risk_training_set": BASE + "SELECT * FROM features",
+    "risk_training_set_recent": BASE
+    + """, seen AS (
+         SELECT DISTINCT f.route_id, f.feed_timestamp, f.trip_id, f.stop_id, f.service_date
+         FROM fact f JOIN routes r ON f.route_id = r.route_id WHERE NOT f.is_orphan_trip AND f.is_late IS NOT NULL
+       ), points AS (
+         SELECT route_id, feed_timestamp, count(delay) AS c, sum(delay) AS s FROM matched GROUP BY ALL
+       ), looks AS (
+         SELECT a.route_id, a.feed_timestamp, sum(b.c) AS c, sum(b.s) AS s
+         FROM points a JOIN points b ON a.route_id = b.route_id AND b.feed_timestamp < a.feed_timestamp
+           AND b.feed_timestamp >= a.feed_timestamp - INTERVAL 1 HOUR GROUP BY ALL
+       )
+       SELECT x.*, CAST(coalesce(c, 0) AS BIGINT) AS recent_observations,
+         coalesce(CAST(s AS DOUBLE) / nullif(c, 0), 0) AS recent_avg_delay_seconds
+       FROM features x JOIN seen USING (trip_id, stop_id, service_date, feed_timestamp)
+         LEFT JOIN looks l ON seen.route_id = l.route_id AND seen.feed_timestamp = l.feed_timestamp""",
+    "risk_score_table": BASE
+    + """SELECT service_date, is_late, count(*) AS n, count(*) AS chances, CAST(1 AS BIGINT) AS models
+       FROM features GROUP BY service_date, is_late""",
     "risk_recent_delay": BASE
     + """, points AS (
          SELECT route_id, feed_timestamp, count(delay) AS c, sum(delay) AS s FROM matched GROUP BY ALL

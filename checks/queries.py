@@ -9,10 +9,14 @@ from checks.adapt import Transit
 from checks.registry import query, wall_clock
 from headway.operators.latest import latest_per_key
 from headway.plans import findings, marts, risk, silver, staging, star
+from headway.session import scratch_dir
+from headway.sinks.tables import write_table
 
 # The published floors empty every group at the smallest scale; the queries use these.
 MIN_GROUP = 50
 MIN_STOP = 30
+#: Depth of the forests that the queries fit; the job's own go as deep as Spark grows them.
+QUERY_DEPTH = 10
 
 
 @query
@@ -204,6 +208,13 @@ def risk_recent_delay(t: Transit) -> DataFrame:
     return wall_clock(named.drop("route_key"))
 
 
+@query
+def risk_training_set_recent(t: Transit) -> DataFrame:
+    recent = risk.recent_delay(t.fact)
+    rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon, recent=recent)
+    return wall_clock(rows)
+
+
 @query
 def risk_split(t: Transit) -> DataFrame:
     rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
@@ -221,7 +232,7 @@ def risk_class_weights(t: Transit) -> DataFrame:
 
 def _trained(t: Transit) -> tuple[DataFrame, risk.Selection]:
     rows = risk.training_set(t.fact, t.dim_route, t.fact_alerts, horizon=t.horizon)
-    return risk.train_and_select(rows, risk.candidates())
+    return risk.train_and_select(rows, risk.candidates(max_depth=QUERY_DEPTH))
 
 
 @query
@@ -241,6 +252,25 @@ def risk_scores(t: Transit) -> DataFrame:
     return risk.score(rows, selection)
 
 
+@query
+def risk_score_table(t: Transit) -> DataFrame:
+    """What the score table holds by day and label after it was replaced: every row once, one model, chances from 0 to 1."""
+    rows, selection = _trained(t)
+    path = scratch_dir(rows.sparkSession, "scores")
+    write_table(rows, path)
+    write_table(risk.score(rows, selection), path)
+    chance = F.col("predicted_delay_risk")
+    return (
+        rows.sparkSession.read.parquet(path)
+        .groupBy("service_date", F.col("actual_is_late").alias("is_late"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(chance.between(0, 1)).alias("chances"),
+            F.count_distinct("model_name").alias("models"),
+        )
+    )
+
+
 @query
 def version_aware_match(t: Transit) -> DataFrame:
     """Live trips against the order history: a month's orders are the timetable version of that month."""

@@ -335,10 +335,21 @@ def store_check(w: Warehouse, now=None) -> tuple[dict[str, str], bool]:
     return paths, bad.isEmpty() and problems.isEmpty()
 
 
-def train_risk(w: Warehouse, *, trees: int = 200, max_iter: int = 1000) -> risk.Selection:
-    """Train, compare and keep the best classifier, and replace the score table with its scores."""
-    rows = risk.training_set(w.fact.read(), w.table("dim_route"), w.table("fact_service_alerts"))
-    marked, selection = risk.train_and_select(rows, risk.candidates(trees, max_iter))
+def train_risk(
+    w: Warehouse, *, trees: int = 200, max_iter: int = 1000, max_depth: int = risk.DEEPEST, recent: bool = False
+) -> risk.Selection:
+    """Train, compare and keep the best classifier, and replace the score table with its scores.
+
+    With `recent`, the models also see the route's delay in the hour before.
+    """
+    fact = w.fact.read()
+    rows = risk.training_set(
+        fact,
+        w.table("dim_route"),
+        w.table("fact_service_alerts"),
+        recent=risk.recent_delay(fact) if recent else None,
+    )
+    marked, selection = risk.train_and_select(rows, risk.candidates(trees, max_iter, max_depth))
     write_table(risk.score(marked, selection), w.gold("mart_trip_delay_risk_score"))
     return selection
 
@@ -355,6 +366,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--landing")
     parser.add_argument("--out")
+    parser.add_argument("--recent", action="store_true", help="train with the route's delay in the hour before")
     args = parser.parse_args(argv)
     w = Warehouse(build_session(), args.warehouse)
     if args.job == "run":
@@ -364,7 +376,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "extract":
         print(extract(w, args.out))
     elif args.job == "train":
-        print(train_risk(w).auc)
+        print(train_risk(w, recent=args.recent).auc)
     else:
         paths, passed = store_check(w)
         print(paths)

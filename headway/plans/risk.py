@@ -22,7 +22,11 @@ from headway.session import materialize, scratch_dir
 
 NUMERIC_FEATURES = ("hour_of_day", "day_of_week_num", "had_active_alert")
 CATEGORICAL_FEATURES = ("route_short_name", "mode")
+#: Columns that training_set adds where it is given the recent delays, and that models use where rows have them.
+RECENT_FEATURES = ("recent_observations", "recent_avg_delay_seconds")
 LABEL = "is_late"
+#: The deepest trees that Spark grows.
+DEEPEST = 30
 _ROW_KEY = ("trip_id", "stop_id", "service_date", "feed_timestamp")
 
 
@@ -33,10 +37,12 @@ def training_set(
     *,
     tz: str | None = None,
     horizon: DataFrame | None = None,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """Reconciled rows with a known delay, their time features, and whether an alert was open on the route.
 
-    Hours are in the session zone unless `tz` is given.
+    Hours are in the session zone unless `tz` is given. With `recent` (see recent_delay), RECENT_FEATURES come too: how
+    many rows of the route had a known delay in the time before, and their mean delay, 0 where there were none.
     """
     labelled = fact.filter(~F.col("is_orphan_trip") & F.col("is_late").isNotNull()).select(
         "trip_id", "stop_id", "service_date", "feed_timestamp", "route_key", "is_late"
@@ -53,6 +59,11 @@ def training_set(
     )
     when = F.col("feed_timestamp") if tz is None else F.from_utc_timestamp("feed_timestamp", tz)
     named = flagged.join(dim_route.select("route_key", "route_short_name", "mode"), "route_key")
+    lately = []
+    if recent is not None:
+        known = recent.select("route_key", "feed_timestamp", *RECENT_FEATURES)
+        named = named.join(known, ["route_key", "feed_timestamp"], "left")
+        lately = [F.coalesce(F.col(c), F.lit(0).cast(known.schema[c].dataType)).alias(c) for c in RECENT_FEATURES]
     return named.select(
         *_ROW_KEY,
         "route_short_name",
@@ -60,6 +71,7 @@ def training_set(
         F.hour(when).alias("hour_of_day"),
         F.dayofweek(when).alias("day_of_week_num"),
         F.col("had_active_alert").cast("int").alias("had_active_alert"),
+        *lately,
         F.col("is_late").cast("int").alias(LABEL),
     )
 
@@ -121,7 +133,11 @@ def class_weights(rows: DataFrame) -> DataFrame:
     )
 
 
-def feature_stages() -> list:
+def numeric_features(rows: DataFrame) -> tuple[str, ...]:
+    return (*NUMERIC_FEATURES, *[c for c in RECENT_FEATURES if c in rows.columns])
+
+
+def feature_stages(numeric: Sequence[str] = NUMERIC_FEATURES) -> list:
     """Scaled numbers and one-hot categories. An unseen category takes the indexer's last slot, which the
     encoder drops, so it becomes all zeros."""
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
@@ -131,7 +147,7 @@ def feature_stages() -> list:
             inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="keep"
         ),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        VectorAssembler(inputCols=list(NUMERIC_FEATURES), outputCol="numeric"),
+        VectorAssembler(inputCols=list(numeric), outputCol="numeric"),
         StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=["scaled", *encoded], outputCol="features"),
     ]
@@ -141,7 +157,7 @@ def logistic_regression(max_iter: int = 1000) -> LogisticRegression:
     return LogisticRegression(labelCol=LABEL, weightCol="class_weight", maxIter=max_iter)
 
 
-def random_forest(trees: int = 200, max_depth: int = 10) -> RandomForestClassifier:
+def random_forest(trees: int = 200, max_depth: int = DEEPEST) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=LABEL,
         weightCol="class_weight",
@@ -151,10 +167,10 @@ def random_forest(trees: int = 200, max_depth: int = 10) -> RandomForestClassifi
     )
 
 
-def candidates(trees: int = 200, max_iter: int = 1000) -> dict[str, Estimator]:
+def candidates(trees: int = 200, max_iter: int = 1000, max_depth: int = DEEPEST) -> dict[str, Estimator]:
     return {
         "logistic_regression": logistic_regression(max_iter),
-        "random_forest": random_forest(trees),
+        "random_forest": random_forest(trees, max_depth),
     }
 
 
@@ -168,7 +184,8 @@ def fit(train: DataFrame, model: Estimator) -> PipelineModel:
     weights = F.broadcast(class_weights(train).select(LABEL, "class_weight"))
     weighted = train.join(weights, LABEL)
     path = scratch_dir(train.sparkSession, "risk-model")
-    Pipeline(stages=[*feature_stages(), model]).fit(weighted).save(path)
+    stages = feature_stages(numeric_features(train))
+    Pipeline(stages=[*stages, model]).fit(weighted).save(path)
     return PipelineModel.load(path)
 
 

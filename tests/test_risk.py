@@ -1,5 +1,6 @@
 import pytest
 from conftest import alerts_df, at, one, routes_df, rows, trips_df, updates_df
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from headway.plans import risk, silver, staging, star
@@ -110,6 +111,49 @@ def test_selection_prefers_the_forest_on_a_tie():
     assert risk.select_best({"logistic_regression": 0.8, "random_forest": 0.7}) == "logistic_regression"
 
 
+def test_recent_delay_as_a_feature(spark, routes, alerts):
+    fact = make_fact(
+        spark,
+        [
+            {"stop_id": "a", "arrival_delay_seconds": 100.0, **when("08:00:00")},
+            {"stop_id": "b", "arrival_delay_seconds": 300.0, **when("08:30:00")},
+            {"stop_id": "c", "arrival_delay_seconds": 999.0, **when("09:00:00")},
+            {"stop_id": "d", "arrival_delay_seconds": 5.0, "route_id": "r2", **when("08:30:00")},
+        ],
+    )
+    got = risk.training_set(fact, routes, alerts, recent=risk.recent_delay(fact))
+    assert rows(got.select("stop_id", *risk.RECENT_FEATURES)) == [
+        ("a", 0, 0.0), ("b", 1, 100.0), ("c", 2, 200.0), ("d", 0, 0.0),
+    ]
+    assert risk.numeric_features(got) == (*risk.NUMERIC_FEATURES, *risk.RECENT_FEATURES)
+    plain = risk.training_set(fact, routes, alerts)
+    assert rows(got.select(plain.columns)) == rows(plain)
+
+
+def test_models_see_recent_delays(spark):
+    """The label depends on nothing but the recent delay, so only models that see it can tell."""
+    days = [("20260916", 300), ("20260917", 100)]
+    data = [
+        (f"t{i}", "s", day, "T1", "train", 8, 2, 0, 5, float(i % 10), int(i % 10 >= 6)) for day, n in days for i in range(n)
+    ]
+    df = spark.createDataFrame(
+        data,
+        "trip_id string, stop_id string, service_date string, route_short_name string, mode string, hour_of_day int, "
+        "day_of_week_num int, had_active_alert int, recent_observations long, recent_avg_delay_seconds double, is_late int",
+    ).withColumn("feed_timestamp", F.lit(at("2026-09-16T08:00:00")))
+    models = {"random_forest": risk.random_forest(5)}
+    assert risk.train_and_select(df, models)[1].auc["random_forest"] > 0.99
+    assert risk.train_and_select(df.drop(*risk.RECENT_FEATURES), models)[1].auc["random_forest"] == pytest.approx(0.5)
+
+
+def test_auc_equals_the_share_of_ordered_pairs(spark):
+    chances = [((7 * i) % 13 / 13, int(i % 5 < 2)) for i in range(40)]
+    scored = spark.createDataFrame(chances, "p double, is_late int").withColumn("rawPrediction", array_to_vector(F.array(1 - F.col("p"), "p")))
+    late, on_time = ([p for p, y in chances if y == label] for label in (1, 0))
+    ordered = sum((a > b) + (a == b) / 2 for a in late for b in on_time) / (len(late) * len(on_time))
+    assert risk.roc_auc(scored) == pytest.approx(ordered)
+
+
 def feature_rows(spark, n, day, lines=("T1", "T2")):
     """Late exactly in the evening, mostly on the first line."""
     return [
