@@ -216,3 +216,20 @@ def test_all_findings_and_checks_are_stored(spark, tmp_path, capsys, monkeypatch
     paths, passed = jobs.store_check(w, at("2024-09-10T21:00:00"))
     fresh = {r.source: r.status for r in spark.read.parquet(paths["source_freshness"]).collect()}
     assert fresh["gtfs_service_alerts"] == "error" and not passed
+
+
+def test_the_training_job_replaces_the_score_table(spark, tmp_path):
+    landing = tmp_path / "landing"
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    trips = "trip_id,route_id,service_id,trip_headsign\n" + "".join(f"t{i},r1,wk,City\n" for i in range(60))
+    land_static(landing, "v1", trips=trips)
+    late = [trip(f"t{i}", ("s1", 400 if i % 2 else 30)) for i in range(60)]
+    land_poll(spark, tmp_path, landing, "gtfs_rt_trip_updates", "p1", "2024-09-10T20:30:00Z", *late)
+    jobs.run(w, str(landing))
+    for recent in (False, True):
+        chosen = jobs.train_risk(w, trees=3, max_iter=5, max_depth=3, recent=recent)
+        assembled = chosen.model.stages[2].getInputCols()
+        assert ("recent_avg_delay_seconds" in assembled) == recent
+        scores = spark.read.parquet(w.gold("mart_trip_delay_risk_score"))
+        assert scores.count() == scores.select("trip_id").distinct().count() == 60
+        assert rows(scores.select("actual_is_late", "model_name").distinct()) == [(0, chosen.name), (1, chosen.name)]
