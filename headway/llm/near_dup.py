@@ -119,6 +119,12 @@ def _more(rows: DataFrame) -> list[Column]:
     return [F.col(c).alias(f"x{c}") for c in ("parts", "set") if c in rows.columns]
 
 
+def _only(sets: DataFrame, ids: DataFrame, classes: int) -> DataFrame:
+    """The sets of the classes in the one column of `ids`, so that a join shuffles no others; there are `classes` sets."""
+    wanted = ids.toDF("wanted").distinct()
+    return sets.join(if_small(wanted, classes), F.col("cid") == F.col("wanted"), "left_semi")
+
+
 def _beside_main(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose label isn't the most frequent one of their keys."""
     parts = rows.groupBy(*keys, "label").agg(F.count("*").alias("rows"))
@@ -126,15 +132,16 @@ def _beside_main(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(main.where("kinds > 1"), keys).where("label <> main").drop("main", "kinds")
 
 
-def _members(lists: DataFrame, long: DataFrame, before: DataFrame | None, sets: DataFrame) -> DataFrame:
+def _members(lists: DataFrame, long: DataFrame, before: DataFrame | None, sets: DataFrame, count: int) -> DataFrame:
     """(ctx, cid, n, lead, rest, parts): the members of long lists in the context of their pivot, with what neither this
     nor an earlier pivot of theirs holds, and how many of their values each pivot took in turn."""
     hung = lists.join(long.select("ctx", "v", "lead"), ["ctx", "v"]).select("ctx", "cid", "n", "lead").distinct()
     if before is None:
-        hung = hung.join(sets.select("cid", F.col("set").alias("rest"), F.array().cast("array<int>").alias("parts")), "cid")
+        whole = _only(sets, hung.select("cid"), count)
+        hung = hung.join(whole.select("cid", F.col("set").alias("rest"), F.array().cast("array<int>").alias("parts")), "cid")
     else:
         hung = hung.join(before.select("ctx", "cid", "rest", "parts"), ["ctx", "cid"])
-    pivots = sets.select(F.col("cid").alias("lead"), F.col("set").alias("taken"))
+    pivots = _only(sets, long.select("lead"), count).select(F.col("cid").alias("lead"), F.col("set").alias("taken"))
     out = hung.join(pivots, "lead").withColumn("left", F.array_except("rest", "taken"))
     parts = F.concat("parts", F.array(F.size("rest") - F.size("left"))).alias("parts")
     out = out.select(F.xxhash64("ctx", "lead").alias("ctx"), "cid", "n", "lead", F.col("left").alias("rest"), parts)
@@ -155,13 +162,13 @@ def _alike(x: str, y: str, percent: int) -> Column:
     return both * 100 >= (F.size(x) + F.size(y) - both) * percent
 
 
-def _linked_within_pivots(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked_within_pivots(members: DataFrame, labels: DataFrame, sets: DataFrame, count: int, percent: int) -> DataFrame:
     """Links (a, b) of pairs that their pivots' values alone can link. Of what a pivot took, a pair shares at most the
     smaller number; these must add up to what a linked pair shares. The full sets go into the join, so that the pairs
     which pass that test, but aren't linked, never become rows."""
     held = F.col("n") - F.size("rest")
     covered = members.where(held * 100 >= F.col("n") * percent).select("ctx", "cid", "n", "parts")
-    covered = _labelled(covered, labels).join(sets, "cid")
+    covered = _labelled(covered, labels).join(_only(sets, covered.select("cid"), count), "cid")
     # sizes that can be linked are in neighbouring bands
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     banded = covered.withColumn("band", band)
@@ -172,7 +179,7 @@ def _linked_within_pivots(members: DataFrame, labels: DataFrame, sets: DataFrame
     return _cross_pairs(beside, banded, ["ctx", "band"], tests)
 
 
-def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, floor: int) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, count: int, k: int, percent: int, floor: int) -> DataFrame:
     """The pairs whose full sets are similar enough: sketches of the union first, exact Jaccard for what is left."""
 
     def side(rows: DataFrame, name: str, value: str) -> DataFrame:
@@ -183,7 +190,9 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percen
     shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     whole = (F.size("sa") < k) & (F.size("sb") < k)
     near = met.where(F.when(whole, _alike("sa", "sb", percent)).otherwise(shared >= floor)).select("a", "b")
-    full = near.join(side(sets, "a", "set"), "a").join(side(sets, "b", "set"), "b")
+    near = checkpointed(near)
+    left, right = (side(_only(sets, near.select(end), count), end, "set") for end in ("a", "b"))
+    full = near.join(left, "a").join(right, "b")
     return full.where(_alike("sa", "sb", percent)).select("a", "b")
 
 
@@ -211,8 +220,9 @@ def near_duplicates(
 
     met = classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("id", "n", "p", "q", "cid")
     met = checkpointed(met)
+    count = met.count()
     ids = met.select(F.col("id").alias("wanted")).distinct()
-    texts = docs.select("doc_id", "text").join(if_small(ids, met.count()), F.expr("doc_id <=> wanted"), "left_semi")
+    texts = docs.select("doc_id", "text").join(if_small(ids, count), F.expr("doc_id <=> wanted"), "left_semi")
     sets = _keyed(texts, words).select("n", "p", "q", "set").join(met.select("n", "p", "q", "cid"), ["n", "p", "q"])
     sets = materialize(sets.groupBy("cid").agg(F.first("set").alias("set")), "sets")
     sketches = checkpointed(classes.join(met.select("cid"), "cid", "left_semi").select("cid", "sketch"))
@@ -230,15 +240,15 @@ def near_duplicates(
         alike = _similar_sizes("xn", "n", percent)
         few = rows.join(short.select("ctx", "v"), ["ctx", "v"])
         pairs = _cross_pairs(few, few.select(*few.columns), ["ctx", "v"], (F.col("x") < F.col("cid")) & alike)
-        within = links.limit(0) if members is None else _linked_within_pivots(members, labels, sets, percent)
+        within = links.limit(0) if members is None else _linked_within_pivots(members, labels, sets, count, percent)
         many = rows.join(long.select("ctx", "v"), ["ctx", "v"])
         if more:
-            members = _members(lists, long, members, sets)
+            members = _members(lists, long, members, sets, count)
             pairs = pairs.union(members.where("cid <> lead").select(*_pair("cid", "lead")))
             lists = materialize(_rest_lists(members, percent), "lists")
         else:
             pairs = pairs.union(_cross_pairs(_beside_main(many, ["ctx", "v"]), many, ["ctx", "v"], alike))
-        found = _links(pairs.distinct(), sketches, sets, k, percent, floor).union(within)
+        found = _links(pairs.distinct(), sketches, sets, count, k, percent, floor).union(within)
         links = checkpointed(links.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         links = stars(links)
         labels = links.select(F.col("a").alias("cid"), F.col("b").alias("root"))

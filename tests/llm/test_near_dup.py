@@ -129,3 +129,23 @@ def test_the_number_of_pivots_changes_nothing(documents, monkeypatch, pivots):
     monkeypatch.setattr(near_dup, "SHORT_LIST", 2)
     docs = corpus(6, 120, 2, 90)
     assert result(near_duplicates(documents(docs), words=4, pivots=pivots)) == brute(docs, 4, 80)
+
+
+def test_joins_shuffle_only_the_sets_of_their_pairs(spark, monkeypatch):
+    """One linked pair among classes that have nothing to do with it: no other set goes into the exact comparison."""
+    asked = []
+    only = near_dup._only
+
+    def watched(sets, ids, count):
+        out = only(sets, ids, count)
+        asked.append({r.cid for r in out.select("cid").collect()})
+        return out
+
+    monkeypatch.setattr(near_dup, "_only", watched)
+    whole = {0: list(range(20)), 1: list(range(1, 20)), **{i: list(range(100 * i, 100 * i + 20)) for i in range(2, 30)}}
+    sets = spark.createDataFrame([(c, s) for c, s in whole.items()], "cid bigint, set array<bigint>")
+    sketches = sets.withColumnRenamed("set", "sketch")
+    pairs = spark.createDataFrame([(0, 1), (2, 3)], "a bigint, b bigint")
+    got = near_dup._links(pairs, sketches, sets, len(whole), near_dup.SKETCH, 80, 30)
+    assert [tuple(r) for r in got.collect()] == [(0, 1)]
+    assert asked == [{0}, {1}]
