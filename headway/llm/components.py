@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import checkpointed
 
+#: With at most so many edges, even a hub's rows are few, and a window over each node's edges needs no join.
+FEW_EDGES = 100_000
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,9 +29,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def contract(edges: DataFrame) -> DataFrame:
+def _few_stars(edges: DataFrame) -> DataFrame:
+    """Both stars of a small table by windows: three shuffles instead of joins, which each take the driver a broadcast."""
+    least = F.min("b").over(Window.partitionBy("a"))
+    large = _both_ways(edges).withColumn("m", F.least("a", least)).where("b > a")
+    small = large.select(F.col("b").alias("a"), F.col("m").alias("b")).withColumn("m", least)
+    both = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return small.select(F.inline(both)).where("a <> b").distinct()
+
+
+def contract(edges: DataFrame, count: int | None = None) -> DataFrame:
     """One round of both stars. Edges of the result still connect exactly what they connected, over smaller nodes."""
-    return checkpointed(_small_star(_large_star(edges)))
+    few = count is not None and count <= FEW_EDGES
+    return checkpointed(_few_stars(edges) if few else _small_star(_large_star(edges)))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,13 +52,14 @@ def stars(edges: DataFrame) -> DataFrame:
     """(a, b): every node of `edges` but the smallest of its component, with that smallest node.
 
     `edges` has numeric, non-null a and b; direction, repetitions and loops don't matter. Rounds grow with the
-    logarithm of the longest path. Minima are taken before joining, so a hub's rows can be split over tasks.
+    logarithm of the longest path. Beyond FEW_EDGES, minima are taken before joining, so a hub's rows can be split over
+    tasks.
     """
     now = checkpointed(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     before, state = None, _state(now)
     while state != before and state[0]:
-        now, before = contract(now), state
+        now, before = contract(now, state[0]), state
         state = _state(now)
     return now

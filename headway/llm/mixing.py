@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import checkpointed, if_small
+from headway.llm.common import checkpointed, fresh, if_small
 
 #: The largest relative change of a cell in a sweep at which fitting has converged, and the most sweeps.
 TOLERANCE = 1e-6
@@ -100,10 +100,10 @@ def _tokens_of(cells: DataFrame, column: str, targets: DataFrame, tokens: float)
     return shares.select("value", F.least("held", F.col("share") * F.lit(rate)).alias("target"))
 
 
-def _filled(cells: DataFrame, column: str, targets: DataFrame) -> DataFrame:
-    """Cells with their factor changed so that tokens * least(1, factor) adds up to the target of each of the column's
-    values, as far as it has so many tokens; values without a target get factor 0."""
-    cells = cells.join(targets, F.expr(f"`{column}` <=> value"), "left")
+def _filled(cells: DataFrame, column: str, goal: str) -> DataFrame:
+    """Cells with their factor changed so that tokens * least(1, factor) adds up to the target, in `goal`, of each of the
+    column's values, as far as it has so many tokens; values without a target get factor 0."""
+    target = F.col(goal)
     over = Window.partitionBy(column)
     order = over.orderBy(F.desc("factor"))
     mass = F.col("tokens") * F.col("factor")
@@ -111,16 +111,16 @@ def _filled(cells: DataFrame, column: str, targets: DataFrame) -> DataFrame:
     after = F.coalesce(F.sum(mass).over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
     # what the value gives when this cell is just whole
     gives = F.when(F.col("factor") > 0, upto + after / F.col("factor"))
-    cells = cells.withColumn("whole", F.coalesce(gives <= F.col("target"), F.lit(False)))
+    cells = cells.withColumn("whole", F.coalesce(gives <= target, F.lit(False)))
     held = F.coalesce(F.sum(F.when(F.col("whole"), F.col("tokens"))).over(over), F.lit(0))
     free = F.sum(F.when(~F.col("whole"), mass)).over(over)
     least = F.min(F.when(F.col("factor") > 0, F.col("factor"))).over(over)
     lifted = F.when(least < 1, F.lit(WHOLE) / least).otherwise(1.0)
-    by = F.coalesce(F.when(F.col("target").isNotNull(), F.when(free > 0, (F.col("target") - held) / free).otherwise(lifted)), F.lit(0.0))
+    by = F.coalesce(F.when(target.isNotNull(), F.when(free > 0, (target - held) / free).otherwise(lifted)), F.lit(0.0))
     was, new = F.least(F.lit(1.0), "factor"), F.least(F.lit(1.0), F.col("factor") * F.col("by"))
     moved = F.greatest("moved", F.when((F.col("tokens") > 0) & (was > 0), F.abs(new / was - 1)).otherwise(0.0))
     cells = cells.withColumn("by", by).withColumn("moved", moved).withColumn("factor", F.col("factor") * F.col("by"))
-    return cells.drop("value", "target", "whole", "by")
+    return cells.drop("whole", "by")
 
 
 def fit(
@@ -139,6 +139,7 @@ def fit(
     Marginals that the cells can't meet together leave the last column exact and the rest as near as `sweeps` sweeps
     came; `moved` tells by how much the last sweep still changed a cell, and a warning says so.
     """
+    goals: dict[str, str] = {}
     if tokens is None:
         targets = {column: _normalized(cells, column, table) for column, table in targets.items()}
         cells = checkpointed(cells.withColumns({"factor": F.lit(1.0), "moved": F.lit(0.0)}))
@@ -147,8 +148,12 @@ def fit(
         cells = _wanted(cells, targets)
         most = cells.agg(F.sum(F.col("tokens") * F.col("factor"))).first()[0] or 0.0
         targets = {column: _tokens_of(cells, column, table, min(tokens, most)) for column, table in targets.items()}
-        targets = {column: checkpointed(table) for column, table in targets.items()}
-        change = _filled
+        for column, table in targets.items():
+            goals[column] = fresh(cells, f"goal_{column}")
+            named = checkpointed(table).withColumnRenamed("target", goals[column])
+            cells = cells.join(named, F.expr(f"`{column}` <=> value"), "left").drop("value")
+        # the targets go with the cells, so that a sweep has no join
+        cells, targets, change = checkpointed(cells), goals, _filled
     for _ in range(sweeps):
         cells = cells.withColumn("moved", F.lit(0.0))
         cells = checkpointed(reduce(lambda c, item: change(c, *item), targets.items(), cells))
@@ -157,7 +162,7 @@ def fit(
             break
     else:
         warnings.warn(f"targets contradict each other: the last of {sweeps} sweeps moved a cell by {moved:.2g}", stacklevel=2)
-    return cells
+    return cells.drop(*goals.values())
 
 
 def uniform(doc_id: Column, seed: str) -> Column:

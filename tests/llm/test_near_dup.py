@@ -4,7 +4,7 @@ import re
 import pytest
 from llm_tables import clashing, documents  # noqa: F401
 
-from headway.llm import near_dup
+from headway.llm import components, near_dup
 from headway.llm.components import stars
 from headway.llm.near_dup import near_duplicates, overlap_floor, without_near_duplicates
 
@@ -149,3 +149,17 @@ def test_joins_shuffle_only_the_sets_of_their_pairs(spark, monkeypatch):
     got = near_dup._links(pairs, sketches, sets, len(whole), near_dup.SKETCH, 80, 30)
     assert [tuple(r) for r in got.collect()] == [(0, 1)]
     assert asked == [{0}, {1}]
+
+
+def test_few_edges_contract_without_a_join(spark, monkeypatch):
+    """A small table takes windows instead of joins, a large one joins; both give the same stars."""
+    rng = random.Random(5)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(0, k) for k in range(100, 130)] + [(7, 7)]
+    edges += [(200 + k, 201 + k) for k in range(20)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    few = sorted(tuple(r) for r in stars(df).collect())
+    monkeypatch.setattr(components, "FEW_EDGES", 0)
+    assert few == sorted(tuple(r) for r in stars(df).collect())
+    assert "Join" not in components._few_stars(df)._jdf.queryExecution().optimizedPlan().toString()
+    whole = roots({x for e in edges for x in e}, edges)
+    assert few == sorted((x, top) for x, top in whole.items() if x != top)
