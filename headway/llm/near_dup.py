@@ -52,8 +52,9 @@ def shingle_set(text: Column, words: int) -> Column:
         return F.sort_array(F.array_distinct(F.when(F.size(hashes) >= words, each).otherwise(short)))
 
     hashed = F.transform(white_words(text), lambda w: F.xxhash64(w))
-    # bound as a lambda variable, the hashes are computed once a row
-    return F.get(F.transform(F.array(hashed), runs), F.lit(0))
+    # bound as a lambda variable, the hashes are computed once a row; known not to be null, the set isn't computed in a
+    # filter for nulls, which would come before the joins that choose texts
+    return F.coalesce(F.get(F.transform(F.array(hashed), runs), F.lit(0)), F.array().cast("array<bigint>"))
 
 
 def _keyed(docs: DataFrame, words: int) -> DataFrame:
@@ -158,8 +159,9 @@ def _rest_lists(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _alike(x: str, y: str, percent: int) -> Column:
-    both = F.size(F.array_intersect(x, y)).cast("long")
-    return both * 100 >= (F.size(x) + F.size(y) - both) * percent
+    """100 * both >= percent * union, with the intersection in it once: Spark computes what a condition holds twice before
+    all of the condition, so for every pair, also where an earlier test fails."""
+    return F.size(F.array_intersect(x, y)).cast("long") * (100 + percent) >= (F.size(x) + F.size(y)) * percent
 
 
 def _linked_within_pivots(members: DataFrame, labels: DataFrame, sets: DataFrame, count: int, percent: int) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 from llm_tables import clashing, documents  # noqa: F401
+from pyspark.sql import functions as F
 
 from headway.llm import components, near_dup
 from headway.llm.components import stars
@@ -163,3 +164,26 @@ def test_few_edges_contract_without_a_join(spark, monkeypatch):
     assert "Join" not in components._few_stars(df)._jdf.queryExecution().optimizedPlan().toString()
     whole = roots({x for e in edges for x in e}, edges)
     assert few == sorted((x, top) for x, top in whole.items() if x != top)
+
+
+def test_only_the_chosen_texts_get_a_set(spark, documents, tmp_path):
+    """The filter for nulls that a join on keys of the set infers would compute the set of every text read."""
+    documents([(i, f"a b c d {i}") for i in range(20)]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs")).select("doc_id", "text")
+    met = near_dup._keyed(docs.where("doc_id < 3"), 4).drop("set")
+    wanted = F.broadcast(met.select(F.col("id").alias("wanted")))
+    texts = docs.join(wanted, F.expr("doc_id <=> wanted"), "left_semi")
+    found = near_dup._keyed(texts, 4).select("n", "p", "q", "set").join(met.withColumnRenamed("id", "cid"), ["n", "p", "q"])
+    assert sorted(r.cid for r in found.collect()) == [0, 1, 2]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter (" in line and "split(" in line]
+
+
+def test_similar_sets_are_intersected_once(spark):
+    """What a condition holds twice is computed ahead of its other tests; the bound itself is exact."""
+    alike = near_dup._alike("x", "y", 80)
+    assert str(alike).count("array_intersect") == 1
+    cases = [(8, 2, 0, True), (4, 1, 0, True), (7, 2, 0, False), (79, 10, 10, False), (80, 10, 10, True), (0, 3, 3, False), (5, 0, 0, True)]
+    rows = [([*range(b), *range(100, 100 + x)], [*range(b), *range(200, 200 + y)], want) for b, x, y, want in cases]
+    df = spark.createDataFrame(rows, "x array<bigint>, y array<bigint>, want boolean")
+    assert df.where(alike != F.col("want")).collect() == []
