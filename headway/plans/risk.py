@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.base import Estimator
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from headway import constants as C
 from headway.functions.columns import ratio
 from headway.functions.shares import delay_measures
+from headway.operators.cells import COUNT, DRAWS, cells, grown_forest, with_draws
 from headway.operators.intervals import HOUR, flag_covered, interval_totals
 from headway.session import materialize, scratch_dir
 
@@ -174,18 +175,41 @@ def candidates(trees: int = 200, max_iter: int = 1000, max_depth: int = DEEPEST)
     }
 
 
-def fit(train: DataFrame, model: Estimator) -> PipelineModel:
+def features(rows: DataFrame) -> tuple[str, ...]:
+    return (*CATEGORICAL_FEATURES, *numeric_features(rows))
+
+
+def _fit_cells(model: Estimator, counted: DataFrame, prepared: PipelineModel, weights: DataFrame) -> Model:
+    """`model` fitted to distinct rows as to all the rows they stand for."""
+    keys = [c for c in counted.columns if c != COUNT]
+    forest = isinstance(model, RandomForestClassifier)
+    if forest:
+        drawing = {"rate": model.getSubsamplingRate(), "replace": model.getBootstrap(), "seed": model.getSeed()}
+        counted = with_draws(counted, keys, model.getNumTrees(), **drawing)
+    weighted = prepared.transform(counted.join(weights, LABEL))
+    if forest:
+        return grown_forest(materialize(weighted.select("features", LABEL, "class_weight", DRAWS), "drawn"), model)
+    return model.fit(weighted.withColumn("class_weight", F.col("class_weight") * F.col(COUNT)))
+
+
+def fit(train: DataFrame, model: Estimator, counted: DataFrame | None = None) -> PipelineModel:
     """Fit the feature stages and the model, and return the fitted pipeline as saved to the shared folder.
 
+    With `counted`, the cells of the features and the label in `train`, the model is fitted to these.
+
     The saved form leaves the training summary behind, which holds on to the session and cannot be
     sent to tasks.
     """
     # Two labels, so two rows; a shuffle on the label would put all rows in two tasks.
     weights = F.broadcast(class_weights(train).select(LABEL, "class_weight"))
-    weighted = train.join(weights, LABEL)
     path = scratch_dir(train.sparkSession, "risk-model")
     stages = feature_stages(numeric_features(train))
-    Pipeline(stages=[*stages, model]).fit(weighted).save(path)
+    if counted is None:
+        fitted = Pipeline(stages=[*stages, model]).fit(train.join(weights, LABEL))
+    else:
+        prepared = Pipeline(stages=stages).fit(train)
+        fitted = PipelineModel([*prepared.stages, _fit_cells(model, counted, prepared, weights)])
+    fitted.save(path)
     return PipelineModel.load(path)
 
 
@@ -240,24 +264,35 @@ def train_and_select(
     """Fit every candidate on the training rows of `rows` and compare them on the test rows.
 
     The feature rows are written once, since splitting and fitting read them many times; they are
-    returned, marked, for scoring.
+    returned, marked, for scoring. Where many rows have the same features and label, models are fitted to these once,
+    by their number.
     """
     marked = mark_test_rows(materialize(rows, "risk-features"))
     train, test = marked.filter(~F.col("is_test")), marked.filter("is_test")
-    fitted = {name: fit(train, model) for name, model in models.items()}
+    counted = cells(train, (*features(train), LABEL))
+    fitted = {name: fit(train, model, counted) for name, model in models.items()}
     auc = {name: roc_auc(model.transform(test)) for name, model in fitted.items()}
     best = select_best(auc)
     return marked, Selection(best, fitted[best], auc)
 
 
 def score(rows: DataFrame, selection: Selection) -> DataFrame:
-    """Late probability of every row, training rows included."""
-    scored = selection.model.transform(rows)
+    """Late probability of every row, training rows included. Rows with the same features get it from one of them where
+    these are many."""
+    chance = vector_to_array("probability")[1].alias("predicted_delay_risk")
+    known = features(rows)
+    counted = cells(rows, known)
+    if counted is None:
+        scored = selection.model.transform(rows).select(*rows.columns, chance)
+    else:
+        found = selection.model.transform(counted).select(*[F.col(c).alias(f"_of_{c}") for c in known], chance)
+        found = materialize(found, "chances")
+        scored = rows.join(found, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in known])
     return scored.select(
         "trip_id",
         "stop_id",
         "service_date",
-        vector_to_array("probability")[1].alias("predicted_delay_risk"),
+        "predicted_delay_risk",
         F.col(LABEL).alias("actual_is_late"),
         F.lit(selection.name).alias("model_name"),
     )
