@@ -9,6 +9,8 @@ from headway.llm.common import checkpointed
 
 #: With at most so many edges, even a hub's rows are few, and a window over each node's edges needs no join.
 FEW_EDGES = 100_000
+#: At most so many edges, some 300 KB, are joined up in the driver, without a job for each round.
+DRIVER_EDGES = 20_000
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -44,6 +46,23 @@ def contract(edges: DataFrame, count: int | None = None) -> DataFrame:
     return checkpointed(_few_stars(edges) if few else _small_star(_large_star(edges)))
 
 
+def _joined_up(edges: DataFrame) -> DataFrame:
+    """The stars of at most DRIVER_EDGES edges."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for edge in edges.select("a", "b").collect():
+        one, other = top(edge.a), top(edge.b)
+        parent[max(one, other)] = min(one, other)
+    found = [(x, top(x)) for x in list(parent)]
+    return checkpointed(edges.sparkSession.createDataFrame([f for f in found if f[0] != f[1]], edges.schema))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -53,13 +72,15 @@ def stars(edges: DataFrame) -> DataFrame:
 
     `edges` has numeric, non-null a and b; direction, repetitions and loops don't matter. Rounds grow with the
     logarithm of the longest path. Beyond FEW_EDGES, minima are taken before joining, so a hub's rows can be split over
-    tasks.
+    tasks. What is left once there are DRIVER_EDGES or fewer is joined up in one step.
     """
     now = checkpointed(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     before, state = None, _state(now)
     while state != before and state[0]:
+        if state[0] <= min(FEW_EDGES, DRIVER_EDGES):
+            return _joined_up(now)
         now, before = contract(now, state[0]), state
         state = _state(now)
     return now

@@ -187,3 +187,19 @@ def test_similar_sets_are_intersected_once(spark):
     rows = [([*range(b), *range(100, 100 + x)], [*range(b), *range(200, 200 + y)], want) for b, x, y, want in cases]
     df = spark.createDataFrame(rows, "x array<bigint>, y array<bigint>, want boolean")
     assert df.where(alike != F.col("want")).collect() == []
+
+
+@pytest.mark.parametrize("least", [0, 30, 10**6])
+def test_the_driver_takes_what_is_left(spark, monkeypatch, least):
+    """All in rounds, the rest after some rounds, or all at once: the same stars, and no round where few edges came."""
+    rng = random.Random(7)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(300 + k, 299 + k) for k in range(40)] + [(5, 5)]
+    rounds = []
+    contract = components.contract
+    monkeypatch.setattr(components, "contract", lambda *a: rounds.append(a) or contract(*a))
+    monkeypatch.setattr(components, "DRIVER_EDGES", least)
+    got = stars(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert got.dtypes == [("a", "bigint"), ("b", "bigint")]
+    whole = roots({x for e in edges for x in e}, edges)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((x, top) for x, top in whole.items() if x != top)
+    assert bool(rounds) == (least < 10**6)
